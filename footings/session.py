@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,12 @@ def get_session(app: str = "footings", master: str | None = None, **extra) -> Sp
     return builder.getOrCreate()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate tables, under the shared folder the cluster names."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return os.path.join(named or tempfile.mkdtemp(), f"{name}-{uuid.uuid4().hex}")
+
+
 def truncate_lineage(df: DataFrame) -> DataFrame:
     """Cut a long lineage with a reliable checkpoint.
 
