@@ -253,11 +253,11 @@ def j13(t):
 
 
 NAMES = """
-l AS (SELECT p_partkey, p_name || ' ' || lower(p_type) AS nm, string_split(p_name || ' ' || lower(p_type), ' ') AS lt FROM part),
+l AS (SELECT p_partkey, p_name || ' ' || lower(p_type) AS nm, list_distinct(string_split(p_name || ' ' || lower(p_type), ' ')) AS lt FROM part),
 r AS (SELECT p_partkey AS k, CASE WHEN p_type = 'ECONOMY' THEN p_name || ' economy deluxe' WHEN p_brand = 'Brand#7' THEN 'The ' || p_name || ' ' || lower(p_type)
          ELSE p_name || ' ' || lower(replace(p_brand, '#', '')) END AS form,
         'see also ' || CASE WHEN p_brand = 'Brand#3' THEN p_name || ' promotional' ELSE 'nothing' END AS prose FROM part),
-forms AS (SELECT form, min(k) AS k, [x for x in string_split(lower(form), ' ') if x <> 'the'] AS rt FROM r GROUP BY form),
+forms AS (SELECT form, min(k) AS k, list_distinct([x for x in string_split(lower(form), ' ') if x <> 'the']) AS rt FROM r GROUP BY form),
 proses AS (SELECT prose, min(k) AS k FROM r GROUP BY prose),
 names AS (SELECT DISTINCT nm, lt FROM l),
 c AS (SELECT nm, 1 AS tier, 0::DOUBLE AS neg, min(k) AS k FROM names JOIN forms ON replace(nm, ' ', '') = replace(lower(form), ' ', '') GROUP BY nm
