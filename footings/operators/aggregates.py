@@ -324,11 +324,15 @@ def estimate_skew(words: DataFrame, part: list[str]) -> DataFrame:
     low, high, scale = SLOPES
     centre_x = (F.col("x0") + F.col("x1")) / 2
     centre_y = (F.col("top") + F.col("bottom")) / 2
-    slim = words.select(*part, centre_x.alias("_x"), centre_y.alias("_y"), (F.col("x1") - F.col("x0")).alias("_w"))
+    # Widths in hundredths of a point: whole numbers add up the same in any order,
+    # so equal scores stay equal and the first slope wins on every run.
+    width = F.round((F.col("x1") - F.col("x0")) * 100).cast("long")
+    slim = words.select(*part, centre_x.alias("_x"), centre_y.alias("_y"), width.alias("_w"))
     tried = slim.select(*part, "_x", "_y", "_w", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("_i"))
     line = F.bround(F.col("_y") - F.col("_i") / F.lit(scale) * F.col("_x"), 0)
     weights = tried.groupBy(*part, "_i", line.alias("_line")).agg(F.sum("_w").alias("_w"), F.count("*").alias("_n"))
-    scores = weights.groupBy(*part, "_i").agg(F.sum(F.col("_w") * F.col("_w")).alias("_s"), F.sum("_n").alias("_n"))
+    square = F.col("_w").cast("decimal(19,0)") * F.col("_w").cast("decimal(19,0)")
+    scores = weights.groupBy(*part, "_i").agg(F.sum(square).alias("_s"), F.sum("_n").alias("_n"))
     best = F.max(F.struct(F.col("_s"), (-F.col("_i")).alias("_j")))
     return scores.groupBy(*part).agg(best.alias("_b"), F.max("_n").alias("_n")).select(
         *part, F.when(F.col("_n") >= LEAST_WORDS, -F.col("_b")["_j"] / F.lit(scale)).otherwise(0.0).alias("slope"))

@@ -349,15 +349,13 @@ def a27(t):
 
 
 @query("a28_estimate_skew", """
-WITH w AS (SELECT user_id, CAST(day(ts) AS INTEGER) % 3 AS page, value + 5 AS x, minute(ts) * 2.0::DOUBLE + 2 AS y FROM events),
+WITH w AS (SELECT user_id, CAST(day(ts) AS INTEGER) % 3 AS page, floor(value) + 5 AS x, minute(ts) * 2.0::DOUBLE + 2 AS y FROM events),
 h AS (SELECT user_id, page, i, round_even(y - i / 2000.0::DOUBLE * x, 0) AS line, count(*) AS n FROM w, range(-60, 61) r(i) GROUP BY ALL),
 s AS (SELECT user_id, page, i, sum(n * n) AS score, sum(n) AS words FROM h GROUP BY ALL)
 SELECT user_id, page, CASE WHEN max(words) >= 12 THEN arg_max(i, (score, -i)) / 2000.0::DOUBLE ELSE 0 END AS slope FROM s GROUP BY ALL""")
 def a28(t):
-    words = t.events.select("user_id", (F.dayofmonth("ts") % 3).alias("page"), F.col("value").alias("x0"),
-                            (F.col("value") + 10).alias("x1"), (F.minute("ts") * 2.0).alias("top"), (F.minute("ts") * 2.0 + 4).alias("bottom"))
-    # Word widths are all ten up to binary rounding; whole widths keep the score exact.
-    words = words.withColumn("x1", F.col("x0") + 10)
+    words = t.events.select("user_id", (F.dayofmonth("ts") % 3).alias("page"), F.floor("value").alias("x0"),
+                            (F.floor("value") + 10).alias("x1"), (F.minute("ts") * 2.0).alias("top"), (F.minute("ts") * 2.0 + 4).alias("bottom"))
     return ops.estimate_skew(words, ["user_id", "page"])
 
 
