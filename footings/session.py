@@ -48,4 +48,4 @@ def truncate_lineage(df: DataFrame) -> DataFrame:
     named = context.getConf().get("spark.checkpoint.dir", None)
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(named or os.path.join(tempfile.mkdtemp(), "checkpoints"))
-    return df.checkpoint(eager=False)
+    return df.checkpoint()
