@@ -17,11 +17,12 @@ PLAN_MONEY = r"\$\s*\(?-?([\d,]+)\)?"
 GROUPED = r"^\d{1,3}(?:[, ]\d{3})+$"
 SPACED_LIMIT = 1e9
 BLANKS = ["-", "–", "—", ""]
+WHITE = " \t\n\r\f\x0b\u00a0"
 
 
 def strip(col: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+    return F.btrim(col, F.lit(WHITE))
 
 
 def _number(text: Column) -> Column:

@@ -31,15 +31,14 @@ def title_key(filename: Column) -> Column:
     return norm_key(F.regexp_replace(F.lower(filename), r"\.pdf$", ""))
 
 
+# At most one pair of neighbours differs.
+DOUBLED = r"^(?:(.)\1)*(?:..)?(?:(.)\2)*.?$"
+
+
 def looks_doubled(text: Column) -> Column:
     """True when nearly every character was printed twice (at least eight of them)."""
-    letters = F.split(F.regexp_replace(text, r"[^\p{L}\p{N}]", ""), "")
-    letters = F.filter(letters, lambda c: c != "")
-    half = F.floor(F.size(letters) / 2).cast("int")
-    pairs = F.when(half > 0, F.size(F.filter(
-        F.sequence(F.lit(1), half),
-        lambda i: F.element_at(letters, i * 2 - 1) == F.element_at(letters, i * 2)))).otherwise(0)
-    return (F.size(letters) >= 8) & (pairs >= half - 1)
+    letters = F.regexp_replace(text, r"[^\p{L}\p{N}]", "")
+    return (F.length(letters) >= 8) & letters.rlike(DOUBLED)
 
 
 def strip_footer(line: Column) -> Column:

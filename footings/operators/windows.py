@@ -120,7 +120,7 @@ def assemble_tokens(chars: DataFrame, part: list[str], island: str, text: str, x
     """
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(x0), F.col(x1), F.col(text).alias("t")))),
                                       lambda c: c["t"]), "")
-    digit = F.max(F.when(F.col(text).rlike(r"\d$"), F.struct(F.col(x0), F.col(x1).alias("e"))))["e"]
+    digit = F.max(F.when(F.col(text).rlike(r"\d"), F.struct(F.col(x0), F.col(x1).alias("e"))))["e"]
     return chars.groupBy(*part, island).agg(joined.alias("text"), F.min(x0).alias("x0"), F.max(x1).alias("x1"),
                                             digit.alias("digit_x1"))
 
@@ -136,15 +136,15 @@ def wrap_labels(lines: DataFrame, part: list[str], order: str, label: str, is_ro
     printed table, so the windows span its lines.
     """
     w = Window.partitionBy(*part).orderBy(order)
-    bare = is_row & (F.col(label) == "")
-    fragment = is_text & (F.length(F.col(text)) <= longest)
-    if stop is not None:
-        fragment = fragment & ~stop
+    short = F.length(F.col(text)) <= longest
+    lines = lines.select("*", is_row.alias("_row"), is_text.alias("_text"),
+                         (short if stop is None else short & ~stop).alias("_short"))
+    columns = [c for c in lines.columns if c not in ("_row", "_text", "_short")]
+    bare, fragment = F.col("_row") & (F.col(label) == ""), F.col("_text") & F.col("_short")
+    lines = lines.select("*", bare.alias("_bare"), fragment.alias("_frag"))
     marked = lines.select(
-        "*", is_row.alias("_row"), bare.alias("_bare"), is_text.alias("_text"),
-        F.lead(F.when(fragment, F.col(text))).over(w).alias("_below"),
-        F.lag(fragment).over(w).alias("_frag_above"), F.lag(F.lit(1)).over(w).alias("_any"),
-        F.lag(bare).over(w).alias("_above_bare"), F.lag(bare, 2).over(w).alias("_second_bare"))
+        "*", F.lead(F.when(F.col("_frag"), F.col(text))).over(w).alias("_below"),
+        F.lag("_frag").over(w).alias("_frag_above"), F.lag("_bare", 2).over(w).alias("_second_bare"))
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     marked = marked.select("*", F.last(F.when(F.col("_row"), F.col(order)), True).over(before).alias("_row_at"),
                            F.last(F.when(F.col("_text"), F.struct(F.col(order).alias("at"), F.col(text).alias("t"))), True)
@@ -162,7 +162,7 @@ def wrap_labels(lines: DataFrame, part: list[str], order: str, label: str, is_ro
     taken = rows.select("*", (F.col("_bare") & F.when(place % 2 == 0, head).otherwise(~head)).alias("_takes"))
     full = F.concat_ws(" ", F.col("_last_text")["t"], F.col("_below"))
     return taken.withColumn(label, F.when(F.col("_takes"), full).otherwise(F.col(label))) \
-        .select(*lines.columns)
+        .select(*columns)
 
 
 def stitch_segments(rows: DataFrame, part: list[str], label: str, order: str, values: str) -> DataFrame:
