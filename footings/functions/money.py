@@ -106,15 +106,14 @@ def ocr_numbers(col: Column) -> Column:
     """All recognised figures of a line; a run that cannot be one figure is read piecewise."""
     tokens = F.regexp_extract_all(col, F.lit(RECOGNISED_NUMBER), F.lit(0))
 
-    def read(token):
-        whole = parse_ocr_number(token)
-        pieces = F.filter(F.transform(F.split(strip(token), r"\s+"), parse_ocr_number),
-                          lambda v: v.isNotNull())
-        return (F.when(whole.isNotNull(), F.array(whole))
-                .when(strip(token).contains(" "), pieces)
-                .otherwise(F.array().cast("array<double>")))
-
-    return F.flatten(F.transform(tokens, read))
+    whole = F.transform(tokens, lambda t: F.struct(t.alias("t"), parse_ocr_number(t).alias("v")))
+
+    def pieces(token):
+        return F.filter(F.transform(F.split(strip(token), r"\s+"), parse_ocr_number), lambda v: v.isNotNull())
+
+    return F.flatten(F.transform(whole, lambda x: F.when(x["v"].isNotNull(), F.array(x["v"]))
+                                 .when(strip(x["t"]).contains(" "), pieces(x["t"]))
+                                 .otherwise(F.array().cast("array<double>"))))
 
 
 def figures_in(col: Column) -> Column:

@@ -240,7 +240,7 @@ def assign_nearest(points: DataFrame, edges: DataFrame, part: list[str], row: st
     return points.join(placed, key, "left")
 
 
-def pair_by_identity(a: DataFrame, b: DataFrame, part: list[str], v1: str, v2: str, k: float,
+def pair_by_identity(a: DataFrame, b: DataFrame, part: list[str], v1: str, v2: str, k: float | Column,
                      tol: float = 0.02, expect: int = 2) -> DataFrame:
     """Pairs with |v1 − v2·k| ≤ tol per group; only a group with exactly `expect` pairs passes.
 

@@ -213,22 +213,42 @@ def vintage(df: DataFrame, keys: list[str], recency: Column, ordinal: str, value
 EMPTY_PROSE = r"(?i)^(n/?a\.?|none\.?|tbd\.?)$"
 
 
-def section_prose(lines: DataFrame, part: list[str], order: list[str], text: str, headings: dict[str, str],
-                  limit: int = 14, chunk: str | None = None) -> DataFrame:
-    """Prose under each heading, up to `limit` lines and the next heading.
+def sections(lines: DataFrame, part: list[str], order: list[str], text: str, headings: dict[str, str],
+             chunk: str | None = None) -> DataFrame:
+    """Lines below the first occurrence of each heading, with the `section` they belong to.
 
-    Blank and page-number lines are skipped; the first section of each heading
-    counts; "n/a" and the like are null.
+    Any heading ends the section before it; a heading printed again opens nothing new.
     """
     line = strip(F.col(text))
     named = F.coalesce(*[F.when(line.rlike(p), F.lit(n)) for n, p in headings.items()])
     at = F.struct(*([chunk] if chunk else []), *order)
-    seen = ordered.carry_forward(lines, part, order, {"_h": F.when(named.isNotNull(), F.struct(at.alias("at"), named.alias("n")))}, chunk)
-    first = seen.filter(named.isNotNull()).groupBy(*part, F.col("_h")["n"].alias("section")).agg(F.min("_h")["at"].alias("_at"))
-    body = seen.filter(named.isNull() & F.col("_h").isNotNull() & (line != "") & ~line.rlike(r"^\d{1,4}$")) \
-        .select(*part, F.col("_h")["n"].alias("section"), F.col("_h")["at"].alias("_at"), at.alias("_pos"), line.alias("_t"))
-    kept = first_ranked(body, [*part, "section", "_at"], [F.col("_pos").asc()], limit)
-    prose = kept.groupBy(*part, "section", "_at").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("_pos", "_t"))), lambda x: x["_t"]), " ").alias("prose"))
-    return first.join(prose, [*part, "section", "_at"], "left").select(
+    marked = lines.withColumn("_name", named)
+    mark = F.when(F.col("_name").isNotNull(), F.struct(at.alias("at"), F.col("_name").alias("n")))
+    seen = ordered.carry_forward(marked, part, order, {"_h": mark}, chunk)
+    first = (marked.filter("_name is not null").groupBy(*part, F.col("_name").alias("section"))
+             .agg(F.min(at).alias("_at")))
+    body = seen.filter("_name is null and _h is not null").select(
+        *lines.columns, F.col("_h")["n"].alias("section"), F.col("_h")["at"].alias("_at"))
+    return body.join(first, [*part, "section", "_at"], "left_semi").drop("_at")
+
+
+def section_prose(lines: DataFrame, part: list[str], order: list[str], text: str, headings: dict[str, str],
+                  limit: int = 14, chunk: str | None = None, wanted: list[str] | None = None) -> DataFrame:
+    """Prose under each heading, up to `limit` lines and the next heading.
+
+    Blank and page-number lines are skipped; "n/a" and the like are null, and so is a
+    section without text.
+    """
+    line = strip(F.col(text))
+    body = sections(lines, part, order, text, headings, chunk).withColumn("_t", line)
+    body = body.filter((F.col("_t") != "") & ~F.col("_t").rlike(r"^\d{1,4}$"))
+    heads = lines.select(*part, F.coalesce(*[F.when(line.rlike(p), F.lit(n)) for n, p in headings.items()]).alias("section")) \
+        .filter("section is not null").distinct()
+    if wanted:
+        body, heads = body.filter(F.col("section").isin(wanted)), heads.filter(F.col("section").isin(wanted))
+    place = [F.col(c) for c in ([chunk] if chunk else []) + order]
+    kept = first_ranked(body, [*part, "section"], [c.asc() for c in place], limit)
+    prose = kept.groupBy(*part, "section").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.struct(*place).alias("p"), F.col("_t")))), lambda x: x["_t"]), " ").alias("prose"))
+    return heads.join(prose, [*part, "section"], "left").select(
         *part, "section", F.when(~F.col("prose").rlike(EMPTY_PROSE), F.col("prose")).alias("prose"))

@@ -181,3 +181,319 @@ def d16(t):
     return prose.bullets_after(pages, "including:", ["Together,"]).select("doc_id", "item_no", "item")
 
 
+
+
+def word_pages(t):
+    """Each order as a statement page of word boxes: fixed columns, figures in fragments.
+
+    Orders with one line have too few figures for a grid and drop out.
+    """
+    k = F.col("l_orderkey")
+    order = F.array_sort(F.collect_list(F.struct(*LINE_ORDER)))
+    pages = t.lineitem.groupBy("l_orderkey").agg(order.alias("ls"))
+    lines = pages.select(F.floor(k / PER_DOC).alias("doc_id"), k.alias("page_no"), F.posexplode("ls").alias("i", "l")) \
+        .select("doc_id", "page_no", (F.col("i") * 12 + 60).cast("double").alias("top"), "l.*")
+
+    def box(text, x0, x1):
+        return F.struct(text.alias("text"), x0.cast("double").alias("x0"), x1.cast("double").alias("x1"))
+
+    price = whole("l_extendedprice")
+    head, tail = F.substring(price, 1, 1), F.substring(price, 2, 20)
+    start = F.lit(300) - F.length(price) * 5
+    boxes = F.array(
+        box(F.lit("Part"), F.lit(40), F.lit(60)), box(F.concat(F.lit("no-"), "l_partkey"), F.lit(66), F.lit(90)),
+        box(F.concat(F.lit("vendor-"), "l_suppkey"), F.lit(96), F.lit(150)), box(F.lit("$"), F.lit(240), F.lit(244)),
+        box(head, start, start + 3), box(tail, start + 5, F.lit(300)),
+        box(F.concat(F.lit("("), F.format_number("l_quantity", 0), F.lit(")")), F.lit(380), F.lit(400)),
+        box(F.when(F.col("l_linenumber") == 7, F.lit("–")).otherwise(F.col("l_linenumber").cast("string")), F.lit(495), F.lit(500)))
+    return lines.select("doc_id", "page_no", "top", (F.col("top") + 8).alias("bottom"), F.inline(boxes))
+
+
+@query("d10_statement_rows", """
+WITH n AS (SELECT l_orderkey AS k, count(*) AS n, count(*) FILTER (l_linenumber <> 7) AS thirds FROM lineitem GROUP BY 1 HAVING count(*) >= 3)
+SELECT k // 1000 AS doc_id, k AS page_no, 'Part no-' || l_partkey || ' vendor-' || l_suppkey AS label, floor(l_extendedprice)::DOUBLE AS a, -l_quantity AS b,
+  CASE WHEN thirds >= 3 AND l_linenumber <> 7 THEN l_linenumber::DOUBLE END AS c FROM lineitem JOIN n ON k = l_orderkey""")
+def d10(t):
+    from footings.plans.statements import statement_rows
+
+    rows, _ = statement_rows(word_pages(t))
+    v = F.col("values")
+    return rows.select("doc_id", "page_no", "label", F.get(v, F.lit(0)).alias("a"), F.get(v, F.lit(1)).alias("b"), F.get(v, F.lit(2)).alias("c"))
+
+
+def nested_rows(t, wrong=None):
+    """Each order as a nested statement: ASSETS over "Flag A:" with a total and "Flag R:" without.
+
+    Lines with flag N fall under ASSETS directly.  `wrong` marks orders whose grand total
+    is misprinted.
+    """
+    from pyspark.sql import Window
+
+    v = F.array(F.col("l_extendedprice"), F.col("l_quantity"))
+    rank = F.when(F.col("l_returnflag") == "N", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
+    name = F.concat_ws(" ", F.lit("Line"), "l_linenumber", "l_partkey", "l_suppkey", F.format_number("l_quantity", 0))
+
+    def printed(df, label, values, indent, group, seq):
+        return df.select("l_orderkey", label.alias("label"), values.alias("values"), F.lit(indent).alias("indent"),
+                         F.struct(group.alias("g"), seq.alias("s")).alias("at"))
+
+    def sums(df):
+        return df.groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("a"),
+                                            F.sum("l_quantity").alias("b"))
+
+    zero, none = F.struct(*[F.lit(0).cast("long").alias(f"k{i}") for i in range(4)]), F.array(F.lit(None).cast("double"), F.lit(None).cast("double"))
+    top = F.struct(*[F.lit(10**15).cast("long").alias(f"k{i}") for i in range(4)])
+    seq = F.struct(*[F.col(c).cast("long").alias(f"k{i}") for i, c in enumerate(LINE_ORDER[:4])])
+    pages = t.lineitem.select("l_orderkey").distinct()
+    flagged = t.lineitem.filter("l_returnflag = 'A'")
+    off = F.lit(0) if wrong is None else F.when(wrong, 3).otherwise(0)
+    parts = [printed(pages, F.lit("ASSETS"), none, 10.0, F.lit(-1), zero),
+             printed(flagged.select("l_orderkey").distinct(), F.lit("Flag A:"), none, 20.0, F.lit(1), zero),
+             printed(t.lineitem.filter("l_returnflag = 'R'").select("l_orderkey").distinct(), F.lit("Flag R:"), none, 20.0, F.lit(2), zero),
+             printed(t.lineitem, name, v, 30.0, rank, seq),
+             printed(sums(flagged), F.lit("Total flag a"), F.array("a", "b"), 30.0, F.lit(1), top),
+             printed(sums(t.lineitem), F.lit("Total assets"), F.array(F.col("a") + off, F.col("b")), 30.0, F.lit(9), top)]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    # Rows are numbered inside one printed page.
+    w = Window.partitionBy("l_orderkey").orderBy("at")
+    return rows.select(F.floor(F.col("l_orderkey") / PER_DOC).alias("doc_id"), F.col("l_orderkey").alias("page_no"),
+                       F.row_number().over(w).alias("row_no"), "label", "indent", "values",
+                       F.exists("values", lambda x: x.isNotNull()).alias("has_figures"))
+
+
+NESTED = """
+f AS (SELECT l_orderkey AS k, count(*) FILTER (l_returnflag = 'A') AS a, count(*) FILTER (l_returnflag <> 'A') AS o, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS t,
+        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (l_returnflag = 'A') AS DOUBLE) AS ta, o_custkey AS c FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey, o_custkey)"""
+
+
+@query("d11_nested_groups", f"""
+WITH {NESTED} SELECT k AS page_no, 'Flag A' AS "group", 'Total flag a' AS total_label, ta AS total, a AS lines, CAST(0 AS BIGINT) AS subtotals FROM f WHERE a > 0
+UNION ALL SELECT k, 'ASSETS', 'Total assets', t, o + CASE WHEN a > 0 THEN 1 ELSE 0 END, CASE WHEN a > 0 THEN 1 ELSE 0 END FROM f""")
+def d11(t):
+    from footings.plans.statements import nested_groups
+
+    parts = nested_groups(nested_rows(t))
+    # Folded lines stay lines of their group: a coincidence of sums changes no count here.
+    folded = F.col("part") == "folded"
+    return parts.groupBy("page_no", "group_no", "group").agg(
+        F.max(F.when(F.col("part") == "total", F.col("label"))).alias("total_label"),
+        F.max(F.when(F.col("part") == "total", F.get("values", F.lit(0)))).alias("total"),
+        F.count_if((F.col("part") == "line") | folded).alias("lines"),
+        F.count_if((F.col("part") == "line") & F.col("is_subtotal")).alias("subtotals")).drop("group_no")
+
+
+@query("d13_verified_lines", f"""
+WITH {NESTED}
+SELECT k AS page_no, 'Flag A' AS "group", 'Line ' || l_linenumber || ' ' || l_partkey || ' ' || l_suppkey || ' ' || CAST(l_quantity AS INTEGER) AS line, l_extendedprice AS amount FROM f JOIN lineitem ON l_orderkey = k WHERE l_returnflag = 'A'
+UNION ALL SELECT k, 'Flag A', 'Total flag a', ta FROM f WHERE a > 0
+UNION ALL SELECT k, 'ASSETS', 'Line ' || l_linenumber || ' ' || l_partkey || ' ' || l_suppkey || ' ' || CAST(l_quantity AS INTEGER), l_extendedprice FROM f JOIN lineitem ON l_orderkey = k WHERE l_returnflag <> 'A' AND c % 6 <> 0
+UNION ALL SELECT k, 'ASSETS', 'Flag A / Total flag a', ta FROM f WHERE a > 0 AND c % 6 <> 0
+UNION ALL SELECT k, 'ASSETS', 'Total assets', t FROM f WHERE c % 6 <> 0""")
+def d13(t):
+    """The lines of a misprinted grand total are withheld; its proven inner group is not."""
+    from footings.plans.statements import verified_lines
+
+    rows = nested_rows(t).join(t.orders.select(F.col("o_orderkey").alias("page_no"), "o_custkey"), "page_no")
+    misprint = (F.col("label") == "Total assets") & (F.col("o_custkey") % 6 == 0)
+    rows = rows.withColumn("values", F.when(misprint, F.transform("values", lambda x: x + 3)).otherwise(F.col("values"))).drop("o_custkey")
+    meta = t.orders.select(F.floor(F.col("o_orderkey") / PER_DOC).alias("doc_id"), F.col("o_orderkey").alias("page_no"),
+                           F.concat(F.lit("Exhibit "), F.year("o_orderdate")).alias("statement_key"), F.year("o_orderdate").alias("fiscal_year"))
+    return verified_lines(rows, meta).select("page_no", "group", "line", F.get("values", F.lit(0)).alias("amount"))
+
+
+@query("d14_flat_statements", """
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS d, floor(o_totalprice)::DOUBLE AS v, (1000 + o_custkey)::DOUBLE AS c, o_orderkey % 4 AS m FROM orders),
+g AS (SELECT *, CASE WHEN m = 1 THEN 2 ELSE 4 END AS score FROM o),
+b AS (SELECT d, arg_min(k, (-score, k)) AS k FROM g GROUP BY 1), s AS (SELECT g.* FROM g JOIN b USING (k))
+SELECT d AS doc_id, k AS page_no, 'revenues' AS section, CAST(i AS INTEGER) AS column_index, CASE WHEN m <> 2 THEN CASE i WHEN 0 THEN 'original_budget' ELSE 'final_budget' END END AS column_role,
+  CASE i WHEN 0 THEN v + c ELSE v + 2 * c END AS total, CAST(2 AS BIGINT) AS component_lines FROM s, range(2) r(i) WHERE i = 0 OR m <> 1""")
+def d14(t):
+    """Orders are recognised pages of their customer's report; some pages prove one column only."""
+    v, c, m = F.floor("o_totalprice"), F.col("o_custkey") + 1000, F.col("o_orderkey") % 4
+
+    def n(x):
+        return F.format_number(x, 0)
+
+    gap = F.lit("   ")
+    text = text_of(
+        F.lit("Budget and Actual  General Fund"), F.lit("Revenues:"),
+        F.concat(F.lit("Ad valorem taxes"), gap, n(v), gap, F.regexp_replace(n(v), ",", " ")),
+        F.concat(F.lit("Other  taxes "), gap, n(c), gap, n(c * 2)),
+        F.concat(F.lit("Total revenues"), gap, n(v + c), gap, n(v + c * 2 + F.when(m == 1, 5).otherwise(0)), gap,
+                 n(v + c * 9), gap, n(c * 7 + F.when(m == 2, 5).when(m == 1, -5).otherwise(0))),
+        F.lit("Revenues over (under) expenditures   1,000   2,000"), F.lit("Revenues"),
+        F.concat(F.lit("Late line ignored"), gap, n(v), gap, n(v)))
+    pages = t.orders.select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("page_no"), text.alias("text"))
+    from footings.plans.statements import flat_statements
+
+    return flat_statements(pages)[0]
+
+
+@query("d12_fold_subtotals", """
+WITH s AS (SELECT l_orderkey AS page_no, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT page_no, CAST(CASE WHEN n BETWEEN 2 AND 8 THEN n ELSE 0 END AS BIGINT) AS folded, n BETWEEN 2 AND 8 AS proven FROM s""")
+def d12(t):
+    """A line that sums the run above it is no further line: counting it twice would break the total."""
+    from pyspark.sql import Window
+
+    from footings.plans.statements import nested_groups, proven_groups
+
+    none = F.array(F.lit(None).cast("double"), F.lit(None).cast("double"))
+    w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
+    lines = t.lineitem.select("l_orderkey", F.row_number().over(w).alias("row_no"), F.concat(F.lit("Line "), "l_partkey").alias("label"),
+                              F.array("l_extendedprice", "l_quantity").alias("values"))
+    sums = t.lineitem.groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("a"), F.sum("l_quantity").alias("b"))
+    rows = lines
+    for row_no, label, values in ((0, "ASSETS", none), (90, "Capital assets, net", F.array("a", "b")), (91, "Other line", F.array(F.lit(1.0), F.lit(2.0))),
+                                  (92, "Total assets", F.array(F.col("a") + 1, F.col("b") + 2))):
+        rows = rows.unionByName(sums.select("l_orderkey", F.lit(row_no).alias("row_no"), F.lit(label).alias("label"), values.alias("values")))
+    rows = rows.select(F.lit(1).alias("doc_id"), F.col("l_orderkey").alias("page_no"), "row_no", "label", F.lit(10.0).alias("indent"), "values",
+                       F.exists("values", lambda x: x.isNotNull()).alias("has_figures"))
+    parts = nested_groups(rows)
+    groups, _ = proven_groups(parts)
+    folded = parts.groupBy("page_no").agg(F.count_if(F.col("part") == "folded").alias("folded"))
+    return folded.join(groups.select("page_no", "proven"), "page_no")
+
+
+def project_plan(t):
+    """Each order as a capital project on two pages; the funding total of some is off."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    sums = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(F.floor("l_extendedprice")).alias("a"), F.sum("l_quantity").alias("b"))
+    name = F.concat_ws("/", F.lit("ACCOUNT"), "l_linenumber", "l_partkey", "l_suppkey", F.format_number("l_quantity", 0))
+    row = F.concat(name, F.lit(" $"), whole("l_extendedprice"), F.lit(" $"), F.format_number("l_quantity", 0))
+    body = joined(t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey"), ["o_orderkey"], LINE_ORDER, row)
+    orders = t.orders.join(sums, "o_orderkey").join(body, "o_orderkey")
+    amount = F.concat(F.lit("AMOUNT $"), F.format_number("a", 0), F.lit(" $"), F.format_number("b", 0))
+    one = text_of(F.lit("7"), F.concat(F.lit("Pump station"), F.lit(" upgrade")), F.concat(F.lit("phase "), k), F.lit("Capital Improvement Project (FY27 - FY33)"),
+                  F.lit("Fund Department Priority Rank"), F.concat(F.lit("Water Fund  Dept-"), c, F.lit("  3")), F.lit("Project Description"),
+                  F.lit("First line of"), F.lit(""), F.lit("the description."), F.lit("Project Expenditures"),
+                  F.lit("Itemization Description Current Project Budget FY27"), F.lit("Amount"), F.col("body"), amount)
+    two = text_of(F.lit("Project Funding"), F.lit("Itemization Description"), F.concat(F.lit("Empty Values $"), F.format_number("a", 0)),
+                  F.concat(F.lit("AMOUNT $"), F.format_number(F.col("a") + F.when(c % 5 == 0, 2).otherwise(0), 0)),
+                  F.lit("Operating Budget Impact"), F.lit("Object Code Description FY27"),
+                  F.concat(F.when(c % 2 == 0, F.lit("DEBT SERVICE - BONDS")).otherwise(F.lit("BUILDINGS")), F.lit(" $"), F.format_number(c + 1, 0)),
+                  F.lit("INSURANCE $0"), F.concat(F.lit("AMOUNT $"), F.format_number(c + 1, 0)))
+    return orders.select(F.floor(k / PER_DOC).alias("doc_id"), F.explode(F.array(
+        F.struct((k % PER_DOC * 3 + 1).alias("page_no"), one.alias("text")), F.struct((k % PER_DOC * 3 + 2).alias("page_no"), two.alias("text")),
+        F.struct((k % PER_DOC * 3 + 3).alias("page_no"), F.lit("Project Expenditures\nNOT OURS $5\nAMOUNT $9").alias("text")))).alias("p")) \
+        .select("doc_id", "p.page_no", "p.text")
+
+
+@query("d06_project_register", """
+WITH s AS (SELECT l_orderkey AS k, sum(floor(l_extendedprice)) + sum(l_quantity) AS cost FROM lineitem GROUP BY 1)
+SELECT k // 1000 AS doc_id, k % 1000 * 3 + 1 AS start_page, 'Pump station upgrade phase ' || k AS title, 'Water Fund' AS fund, 'Dept-' || o_custkey AS department, CAST(3 AS INTEGER) AS priority_rank,
+  cost::DOUBLE AS total_planned_cost, CASE WHEN o_custkey % 2 = 0 THEN o_custkey + 1 ELSE 0 END::DOUBLE AS recurring_portion, o_custkey % 5 <> 0 AS published, o_custkey % 2 = 0 AS creates_recurring_cost, 'First line of the description.' AS description
+FROM s JOIN orders ON o_orderkey = k""")
+def d06(t):
+    from footings.plans.projects import project_register
+
+    projects, _, prose_rows = project_register(project_plan(t))
+    said = prose_rows.filter("section = 'description'").select("doc_id", "start_page", F.col("prose").alias("description"))
+    return projects.join(said, ["doc_id", "start_page"], "left")
+
+
+def request_pages(t):
+    """Each customer's funded and unfunded lists on one page, and a form for every urgent order."""
+    k = F.col("o_orderkey")
+    item = F.concat(F.lit("Clerk-"), k, F.lit(" vehicles $"), whole("o_totalprice"), F.lit(" $"), F.format_number(k % 100 + 1, 0))
+    orders = t.orders.withColumn("o_funded", F.col("o_orderstatus") == "F")
+    lists = orders.groupBy("o_custkey", "o_funded").agg(
+        F.array_join(F.array_sort(F.collect_list(item)), "\n").alias("body"), F.sum(F.floor("o_totalprice")).alias("a"), F.sum(k % 100 + 1).alias("b"))
+    off = F.when((F.col("o_custkey") % 9 == 0) & ~F.col("o_funded"), 1).otherwise(0)
+    kind = F.when(F.col("o_funded"), "Funded").otherwise("Unfunded")
+    part = text_of(F.concat(kind, F.lit(" Noteworthy Requests")), F.concat(F.lit("Fund-"), F.col("o_custkey") % 7, F.lit(": "), kind, F.lit(" Noteworthy Requests")),
+                   F.lit("Line Item Description FY27 FY28"), F.col("body"),
+                   F.concat(F.lit("AMOUNT $"), F.format_number(F.col("a") + off, 0), F.lit(" $"), F.format_number("b", 0)))
+    listed = lists.groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_list(part)), "\n").alias("text")) \
+        .select(F.col("o_custkey").alias("doc_id"), F.lit(1).cast("long").alias("page_no"), "text")
+    form = text_of(F.concat(F.lit("Vehicles of the Clerk "), k, F.when(k % 2 == 0, F.lit(" replacement request")).otherwise(F.lit(" extra"))),
+                   F.lit("Budget Justification Form (FY27 - FY29)"), F.lit("Fund Department Priority Rank"), F.concat(F.lit("Water Fund Dept-"), k, F.lit(" None")),
+                   F.lit("Request Description"), F.lit("Needed."), F.lit("Alternatives & Operational Impact if Not Funded"),
+                   F.when(k % 3 == 0, F.lit("N/A")).otherwise(F.lit("It could be funded by fees.")))
+    forms = t.orders.filter("o_orderpriority = '1-URGENT'").select((F.col("o_custkey") + 10**9).alias("doc_id"), k.alias("page_no"), form.alias("text"))
+    return listed.unionByName(forms)
+
+
+@query("d07_trade_offs", """
+SELECT 'Clerk-' || o_orderkey || ' vehicles' AS request, CASE WHEN o_orderstatus = 'F' THEN 'funded' ELSE 'unfunded' END AS status, 'Fund-' || o_custkey % 7 AS fund, floor(o_totalprice)::DOUBLE AS first_year,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'name variant' ELSE 'no form found' END AS basis, CASE WHEN o_orderpriority = '1-URGENT' THEN 'Dept-' || o_orderkey END AS department,
+  CASE WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 3 <> 0 THEN 'It could be funded by fees.' END AS impact_if_not_funded, CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey % 3 <> 0 END AS states_alternative
+FROM orders WHERE NOT (o_custkey % 9 = 0 AND o_orderstatus <> 'F')""")
+def d07(t):
+    from footings.plans import projects
+
+    pages = request_pages(t)
+    found = projects.trade_offs(projects.request_lists(pages), projects.request_forms(pages))
+    return found.select("request", "status", "fund", "first_year", "basis", "department", "impact_if_not_funded", "states_alternative")
+
+
+@query("d07_request_summary", """
+WITH s AS (SELECT 'Fund-' || o_custkey % 7 AS fund, o_orderstatus = 'F' AS f, floor(o_totalprice)::DOUBLE AS v, o_orderpriority = '1-URGENT' AS u FROM orders WHERE NOT (o_custkey % 9 = 0 AND o_orderstatus <> 'F')),
+x AS (SELECT fund, CAST(count_if(f) AS BIGINT) AS requests_funded, CAST(count_if(NOT f) AS BIGINT) AS requests_declined, sum(v) FILTER (f) AS funded, sum(v) FILTER (NOT f) AS declined, CAST(count_if(u) AS BIGINT) AS with_form FROM s GROUP BY 1)
+SELECT *, round(funded / (funded + declined) * 100, 1) AS share_funded_pct FROM x""")
+def d07_summary(t):
+    from footings.plans import projects
+
+    pages = request_pages(t)
+    found = projects.trade_offs(projects.request_lists(pages), projects.request_forms(pages))
+    return projects.request_summary(found, ["fund"])
+
+
+@query("d08_rate_sets", """
+WITH c AS (SELECT c_custkey AS doc_id, (c_custkey + 100) / 100.0::DOUBLE AS r FROM customer),
+s AS (SELECT * FROM (VALUES ('water', 'inside', 0), ('water', 'outside', 10), ('sewer', 'inside', 20), ('sewer', 'outside', 30)) v(service, location, plus))
+SELECT doc_id, service, location, CAST(2000 AS INTEGER) AS threshold, CAST(2 AS BIGINT) AS pairs, TRUE AS accepted, round(r + plus, 2) AS current_rate, round((r + plus) * 2, 2) AS current_charge,
+  round(r + plus + 1, 2) AS recommended_rate, round((r + plus + 1) * 2, 2) AS recommended_charge, round((round(r + plus + 1, 2) / round(r + plus, 2) - 1) * 100, 2) AS increase_pct FROM c, s""")
+def d08(t):
+    """Each customer's schedule: two rate sets per service and place, one figure off its label, sewer over a page break."""
+    from footings.plans.rates import fee_values, rate_sets
+
+    base = (F.col("c_custkey") + 100) / 100.0
+
+    def money(x):
+        return F.concat(F.lit("$"), F.format_number(x, 2))
+
+    def block(plus):
+        r = base + plus
+        return [F.concat(F.lit("Block 1 (0-2,000 gallons/month) "), money(r * 2)), money((r + 1) * 2),
+                F.concat(F.lit("Minimum charge "), money(F.lit(99.99))), money(r),
+                F.concat(F.lit("Block 2 (> 2,000 gallons/month) "), money(r + 1))]
+
+    one = text_of(F.lit("Water Volume Charges"), F.lit("Inside Town"), *block(0), F.lit("Outside Town"), *block(10), F.lit("Bulk Water sales $1.00"),
+                  F.lit("Sewer Volume Charges"), F.lit("Inside Town"), *block(20)[:1])
+    two = text_of(*block(20)[1:], F.lit("Outside Town"), *block(30), F.lit("Capital Facilities Fee"))
+    pages = t.customer.select(F.col("c_custkey").alias("doc_id"), F.explode(F.array(
+        F.struct(F.lit(1).alias("page_no"), F.lit("Fees $4.00").alias("text")), F.struct(F.lit(2).alias("page_no"), one.alias("text")),
+        F.struct(F.lit(3).alias("page_no"), two.alias("text")), F.struct(F.lit(4).alias("page_no"), F.lit("Inside Town\nBlock 1 (0-2,000 gallons/month) $7.00").alias("text")))).alias("p")) \
+        .select("doc_id", "p.page_no", "p.text")
+    return rate_sets(fee_values(pages))
+
+
+@query("d09_rate_tables", """
+WITH e AS (SELECT c_custkey AS d, c_nationkey AS n FROM customer), y AS (SELECT unnest([2016, 2017, 2018, 2019]) AS year), x AS (SELECT unnest([0, 1, 2]) AS x),
+v AS (SELECT n, year, x, CASE WHEN d % 50 = 0 AND year = 2018 THEN 0.999 ELSE round(0.1 + n / 1000.0 + x / 100.0 + (year - 2016) / 10.0, 6) END::DOUBLE AS rate, d FROM e, y, x WHERE d % 4 <> 3),
+w AS (SELECT n, year, x, rate, count(*) AS c, min(d) AS f FROM v GROUP BY 1, 2, 3, 4)
+SELECT n AS nationkey, ['county', 'town', 'school'][x + 1] AS entity, CAST(year AS INTEGER) AS year, CASE WHEN count(*) = 1 THEN min(rate) END AS value, count(*) AS distinct_values, CAST(sum(c) AS BIGINT) AS editions, min(f) AS first_edition,
+  CASE WHEN count(*) = 1 THEN 'agreed' ELSE 'disputed' END AS state FROM w GROUP BY 1, 2, 3""")
+def d09(t):
+    """Each customer is one edition of its nation's table: labelled, by position, or one row short."""
+    from footings.operators.aggregates import corroborate
+    from footings.plans.rates import rate_tables
+
+    d, n = F.col("c_custkey"), F.col("c_nationkey")
+
+    def rates(x):
+        figures = [F.when((d % 50 == 0) & F.lit(y == 2018), F.lit("0 .999")).otherwise(F.format_string(
+            "%.4f", 0.1 + n / 1000.0 + x / 100.0 + (y - 2016) / 10.0)) for y in range(2016, 2020)]
+        return F.concat_ws("  $ ", *figures)
+
+    names = ["Orange grove county", "Town proper", "School district of all"]
+    kind = d % 4
+    lines = [F.when(kind < 2, F.concat(F.lit(label), F.lit("  "), rates(i))).when((kind == 2) | F.lit(i < 2), rates(i)) for i, label in enumerate(names)]
+    text = text_of(F.lit("Direct and Overlapping Rates"), F.lit("Last ten fiscal years"), F.lit("2016 2017 2018 2019"), *lines, F.lit("Note 1"))
+    pages = t.customer.select(d.alias("doc_id"), F.lit(9).alias("page_no"), text.alias("text"))
+    cells = rate_tables(pages, "Overlapping Rates", list(zip(["county", "town", "school"], names)))
+    keyed = cells.join(t.customer.select(d.alias("doc_id"), n.alias("nationkey")), "doc_id")
+    return corroborate(keyed, ["nationkey", "entity", "year"], "rate", "doc_id")
