@@ -397,7 +397,7 @@ def d06(t):
 def request_pages(t):
     """Each customer's funded and unfunded lists on one page, and a form for every urgent order."""
     k = F.col("o_orderkey")
-    item = F.concat(F.lit("Clerk-"), k, F.lit(" vehicles $"), whole("o_totalprice"), F.lit(" $"), F.format_number(k % 100 + 1, 0))
+    item = F.concat(F.lit("Clerk-"), k + 100000, F.lit(" vehicles $"), whole("o_totalprice"), F.lit(" $"), F.format_number(k % 100 + 1, 0))
     orders = t.orders.withColumn("o_funded", F.col("o_orderstatus") == "F")
     lists = orders.groupBy("o_custkey", "o_funded").agg(
         F.array_join(F.array_sort(F.collect_list(item)), "\n").alias("body"), F.sum(F.floor("o_totalprice")).alias("a"), F.sum(k % 100 + 1).alias("b"))
@@ -408,7 +408,7 @@ def request_pages(t):
                    F.concat(F.lit("AMOUNT $"), F.format_number(F.col("a") + off, 0), F.lit(" $"), F.format_number("b", 0)))
     listed = lists.groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_list(part)), "\n").alias("text")) \
         .select(F.col("o_custkey").alias("doc_id"), F.lit(1).cast("long").alias("page_no"), "text")
-    form = text_of(F.concat(F.lit("Vehicles of the Clerk "), k, F.when(k % 2 == 0, F.lit(" replacement request")).otherwise(F.lit(" extra"))),
+    form = text_of(F.concat(F.lit("Vehicles of the Clerk "), k + 100000, F.when(k % 2 == 0, F.lit(" replacement request")).otherwise(F.lit(" extra"))),
                    F.lit("Budget Justification Form (FY27 - FY29)"), F.lit("Fund Department Priority Rank"), F.concat(F.lit("Water Fund Dept-"), k, F.lit(" None")),
                    F.lit("Request Description"), F.lit("Needed."), F.lit("Alternatives & Operational Impact if Not Funded"),
                    F.when(k % 3 == 0, F.lit("N/A")).otherwise(F.lit("It could be funded by fees.")))
@@ -417,7 +417,7 @@ def request_pages(t):
 
 
 @query("d07_trade_offs", """
-SELECT 'Clerk-' || o_orderkey || ' vehicles' AS request, CASE WHEN o_orderstatus = 'F' THEN 'funded' ELSE 'unfunded' END AS status, 'Fund-' || o_custkey % 7 AS fund, floor(o_totalprice)::DOUBLE AS first_year,
+SELECT 'Clerk-' || (o_orderkey + 100000) || ' vehicles' AS request, CASE WHEN o_orderstatus = 'F' THEN 'funded' ELSE 'unfunded' END AS status, 'Fund-' || o_custkey % 7 AS fund, floor(o_totalprice)::DOUBLE AS first_year,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'name variant' ELSE 'no form found' END AS basis, CASE WHEN o_orderpriority = '1-URGENT' THEN 'Dept-' || o_orderkey END AS department,
   CASE WHEN o_orderpriority = '1-URGENT' AND o_orderkey % 3 <> 0 THEN 'It could be funded by fees.' END AS impact_if_not_funded, CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey % 3 <> 0 END AS states_alternative
 FROM orders WHERE NOT (o_custkey % 9 = 0 AND o_orderstatus <> 'F')""")
