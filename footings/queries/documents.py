@@ -395,19 +395,19 @@ def d06(t):
 
 
 def request_pages(t):
-    """Each customer's funded and unfunded lists on one page, and a form for every urgent order."""
+    """Each customer's funded and unfunded lists, a page per two hundred order numbers, and a form for every urgent order."""
     k = F.col("o_orderkey")
     item = F.concat(F.lit("Clerk-"), k + 100000, F.lit(" vehicles $"), whole("o_totalprice"), F.lit(" $"), F.format_number(k % 100 + 1, 0))
     orders = t.orders.withColumn("o_funded", F.col("o_orderstatus") == "F")
-    lists = orders.groupBy("o_custkey", "o_funded").agg(
+    lists = orders.groupBy("o_custkey", F.floor(k / 200).alias("page_no"), "o_funded").agg(
         F.array_join(F.array_sort(F.collect_list(item)), "\n").alias("body"), F.sum(F.floor("o_totalprice")).alias("a"), F.sum(k % 100 + 1).alias("b"))
     off = F.when((F.col("o_custkey") % 9 == 0) & ~F.col("o_funded"), 1).otherwise(0)
     kind = F.when(F.col("o_funded"), "Funded").otherwise("Unfunded")
     part = text_of(F.concat(kind, F.lit(" Noteworthy Requests")), F.concat(F.lit("Fund-"), F.col("o_custkey") % 7, F.lit(": "), kind, F.lit(" Noteworthy Requests")),
                    F.lit("Line Item Description FY27 FY28"), F.col("body"),
                    F.concat(F.lit("AMOUNT $"), F.format_number(F.col("a") + off, 0), F.lit(" $"), F.format_number("b", 0)))
-    listed = lists.groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_list(part)), "\n").alias("text")) \
-        .select(F.col("o_custkey").alias("doc_id"), F.lit(1).cast("long").alias("page_no"), "text")
+    listed = lists.groupBy("o_custkey", "page_no").agg(F.array_join(F.array_sort(F.collect_list(part)), "\n").alias("text")) \
+        .select(F.col("o_custkey").alias("doc_id"), "page_no", "text")
     form = text_of(F.concat(F.lit("Vehicles of the Clerk "), k + 100000, F.when(k % 2 == 0, F.lit(" replacement request")).otherwise(F.lit(" extra"))),
                    F.lit("Budget Justification Form (FY27 - FY29)"), F.lit("Fund Department Priority Rank"), F.concat(F.lit("Water Fund Dept-"), k, F.lit(" None")),
                    F.lit("Request Description"), F.lit("Needed."), F.lit("Alternatives & Operational Impact if Not Funded"),

@@ -6,10 +6,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def _empty_files(spark: SparkSession, root: str) -> list[str]:
+    """Names of zero-length files, which Spark's file scan passes over without a row.
+
+    The listing is metadata, walked like the one Spark's reader makes; only the names of
+    empty files, each of them an error, are kept.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listing = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    names = []
+    while listing.hasNext():
+        status = listing.next()
+        name = status.getPath().getName()
+        if status.getLen() == 0 and not name.startswith((".", "_")):
+            names.append(status.getPath().toString())
+    return names
+
+
 def inventory(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(files, violations) under a folder: path, bytes, sha256, extension; empty files rejected."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
-    return content_inventory(files, "path", F.col("content"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    good, _ = content_inventory(files, "path", F.col("content"))
+    bad = spark.createDataFrame([(n, "empty file") for n in _empty_files(spark, root)], "path string, problem string")
+    return good, bad
 
 
 def content_inventory(df: DataFrame, name: str, content: Column) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ import duckdb
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
+EMPTY = "EMPTY on both sides"
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
          "boolean": "BOOLEAN"}
 
@@ -41,7 +42,7 @@ def compare(df, con, sql):
         return (f"rows spark {sum(got.values())} sql {sum(want.values())}; columns {order}; "
                 f"only spark {list((got - want).items())[:3]}; only sql {list((want - got).items())[:3]}")
     if not got:
-        return "EMPTY on both sides"
+        return EMPTY
     return None
 
 
