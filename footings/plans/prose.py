@@ -1,8 +1,7 @@
 """Grids and lists inside message pages.
 
 Each of these reads one page with array functions on the page's own row: nothing is
-exploded before the figures are known, and nothing is shuffled but the first page per
-document.
+exploded before the figures are known, and only pages that can hold a figure are moved.
 """
 
 from __future__ import annotations
@@ -50,7 +49,8 @@ def projection_grid(pages: DataFrame, metrics: list[tuple[str, str, str]]) -> Da
         n = F.size(_words(line))
         return n.between(3, 6) & F.forall(_words(line), lambda w: w.rlike(r"^FY\d{2,4}$"))
 
-    titled = pages.filter(F.col("text").contains(GRID_TITLE))
+    # Few pages hold a grid: those few are spread over all cores before they are read.
+    titled = pages.filter(F.col("text").contains(GRID_TITLE)).repartition("doc_id", "page_no")
     grid = titled.withColumn("_lines", lines) \
         .withColumn("_at", _index(F.col("_lines"), lambda x: x.contains(GRID_TITLE)))
     below = _index(_span(F.col("_lines"), F.col("_at"), TITLE_REACH), is_years)

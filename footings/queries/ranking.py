@@ -62,7 +62,7 @@ def u02(t):
 
 @query("u04_append_scenario", """
 WITH a AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, 'Actual' AS scenario, o_orderkey FROM orders WHERE o_orderstatus = 'F'
-  UNION ALL SELECT o_custkey, year(o_orderdate), CASE WHEN o_orderstatus = 'O' THEN 'Estimate' ELSE 'Actual' END, o_orderkey FROM orders WHERE o_orderstatus <> 'F'),
+  UNION ALL SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER), CASE WHEN o_orderstatus = 'O' THEN 'Estimate' ELSE 'Actual' END, o_orderkey FROM orders WHERE o_orderstatus <> 'F'),
 c AS (SELECT o_custkey, year, scenario, count(*) AS n FROM a GROUP BY ALL)
 SELECT a.*, n > 1 AS collides FROM a JOIN c USING (o_custkey, year, scenario)""")
 def u04(t):
