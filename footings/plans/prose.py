@@ -65,8 +65,9 @@ def projection_grid(pages: DataFrame, metrics: list[tuple[str, str, str]]) -> Da
     basis = F.when(basis_line.isNotNull(), F.transform(_words(F.lower(basis_line)), lambda w: names[w])) \
         .otherwise(F.transform("_years", lambda _: F.lit("reported")))
     grid = grid.withColumn("_basis", basis)
-    first = grid.groupBy("doc_id").agg(F.min("page_no").alias("page_no"))
-    grid = grid.join(first, ["doc_id", "page_no"], "left_semi")
+    # The first page per document is a minimum, so each page is read once.
+    first = F.min(F.struct("page_no", "_lines", "_years", "_basis"))
+    grid = grid.groupBy("doc_id").agg(first.alias("_g")).select("doc_id", "_g.*")
 
     def row(pattern, metric, unit):
         full = pattern + r"\s*(.*)$"
@@ -88,8 +89,8 @@ def rate_impact(pages: DataFrame) -> DataFrame:
     """
     text = F.col("text")
     stated = pages.filter(text.contains(BLOCK_TITLE))
-    first = stated.groupBy("doc_id").agg(F.min("page_no").alias("page_no"))
-    block = stated.join(first, ["doc_id", "page_no"], "left_semi").filter(text.rlike(LEVELS_HEADER))
+    first = stated.groupBy("doc_id").agg(F.min(F.struct("page_no", "text")).alias("_p")).select("doc_id", "_p.*")
+    block = first.filter(text.rlike(LEVELS_HEADER))
     block = block.withColumn("_block", F.substring(text, F.instr(text, F.lit(BLOCK_TITLE)), F.length(text)))
     cells = []
     for label, location in LOCATIONS:

@@ -489,7 +489,7 @@ def d09(t):
             "%.4f", 0.1 + n / 1000.0 + x / 100.0 + (y - 2016) / 10.0)) for y in range(2016, 2020)]
         return F.concat_ws("  $ ", *figures)
 
-    names = ["Orange grove county", "Town proper", "School district of all"]
+    names = ["Riverside county", "Town proper", "School district of all"]
     kind = d % 4
     lines = [F.when(kind < 2, F.concat(F.lit(label), F.lit("  "), rates(i))).when((kind == 2) | F.lit(i < 2), rates(i)) for i, label in enumerate(names)]
     text = text_of(F.lit("Direct and Overlapping Rates"), F.lit("Last ten fiscal years"), F.lit("2016 2017 2018 2019"), *lines, F.lit("Note 1"))
