@@ -32,21 +32,30 @@ def get_session(app: str = "footings", master: str | None = None, **extra) -> Sp
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the cluster names it in spark.checkpoint.dir.
+
+    Where none is named, a local session (tests, a laptop) gets a scratch folder; on a
+    cluster that would be a folder of one machine, so it is an error there.
+    """
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    set_before = context._jsc.sc().getCheckpointDir()
+    return set_before.get() if set_before.isDefined() else tempfile.mkdtemp()
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, under the shared folder the cluster names."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return os.path.join(named or tempfile.mkdtemp(), f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
 def truncate_lineage(df: DataFrame) -> DataFrame:
-    """Cut a long lineage with a reliable checkpoint.
-
-    The folder is the shared one the cluster names in spark.checkpoint.dir.  Only
-    when none is named (tests, a laptop) is a scratch folder set.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir", None)
+    """Cut a long lineage with a reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(named or os.path.join(tempfile.mkdtemp(), "checkpoints"))
+        context.setCheckpointDir(os.path.join(shared_folder(df.sparkSession), "checkpoints"))
     return df.checkpoint()

@@ -5,10 +5,12 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from footings.queries.registry import REGISTRY
 from tests.oracle import EMPTY, compare, connect
 
 SF_DIR = os.environ.get("FOOTINGS_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES = {name: fn for name, fn in queries().items() if name in REGISTRY}
+SQL = {name: sql for name, sql in oracle_sql().items() if name in REGISTRY}
 
 
 @pytest.fixture(scope="module")
