@@ -7,13 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footings.llm import chat, mixing, secrets, sharding
+from footings.llm import bpe, chat, mixing, secrets, sharding, tokencounts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+CONTEXT = 512
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = tokencounts.prefix_counts(_table(spark, sf_dir, "documents"), _tokenizer(), stored=False)
+    return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(_table(spark, sf_dir, "documents"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Encode, decode what was encoded, and digest both."""
+    encoded = bpe.encode(docs, _tokenizer())
+    both = bpe.decode(encoded, _tokenizer())
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", chat.EXTRA_TEXT), (-7, 1, "assistant", chat.EXTRA_TEXT)],
@@ -35,6 +62,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_bpe": op2_bpe,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_secret_scans": op5_secret_scans,
     "op7_sharding": op7_sharding,
