@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footings.llm import bpe, chat, mixing, secrets, sharding, tokencounts
+from footings.llm import bpe, chat, mixing, quality, secrets, sharding, tokencounts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,11 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), columns=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-7, 0, "user", chat.EXTRA_TEXT), (-7, 1, "assistant", chat.EXTRA_TEXT)],
@@ -64,6 +69,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
+    "op3_quality": op3_quality,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_secret_scans": op5_secret_scans,
     "op7_sharding": op7_sharding,
