@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footings.llm import bpe, chat, mixing, quality, secrets, sharding, tokencounts
+from footings.llm import ann, bpe, chat, fingerprints, mixing, quality, secrets, sharding, tokencounts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(_table(spark, sf_dir, "documents"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0), 10)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"))
 
@@ -66,14 +71,20 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", F.col("taken").cast("bigint").alias("taken"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_chat_formatting": op4_chat_formatting,
     "op5_secret_scans": op5_secret_scans,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
+    "op9_fingerprints": op9_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
