@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footings.llm import ann, bpe, chat, fingerprints, mixing, quality, secrets, sharding, tokencounts
+from footings.llm import (ann, bpe, chat, fingerprints, mixing, orderminhash, quality, secrets, sharding,
+                          tokencounts)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +76,10 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_digests(_table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderminhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {

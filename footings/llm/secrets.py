@@ -27,6 +27,7 @@ ASSIGN_VALUE = 6
 OPAQUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}={0,2}"
 ENDPOINT = r"(?:[a-z][a-z0-9+.-]{1,20}://[^\s\"'<>]+|\b[a-z0-9][a-z0-9.-]*\.(?:amazonaws\.com|internal)\b)"
 REACH = 400
+SALTS = 32
 
 KINDS = ("assign", "access", "hex")
 SPANS = "array<struct<start:int,end:int>>"
@@ -136,7 +137,10 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", reach
     rows = docs.select(F.col(key), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("_scope"), F.col(text).alias("_text"))
     found = truncate_lineage(find_parts(rows, "_text").drop("_text"))
     linked = link_parts(found, reach)
-    joined = found.join(linked, "_scope", "left").withColumn("linked", F.coalesce(
+    # Rows of one text may be a third of all: they are dealt over SALTS tasks.
+    linked = linked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = found.withColumn("_salt", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(SALTS)).cast("int"))
+    joined = salted.join(linked, ["_scope", "_salt"], "left").withColumn("linked", F.coalesce(
         "linked", F.array().cast("array<struct<start:int,end:int,kind:string>>")))
     base = F.concat("assign", "access", "hex")
     fresh = F.filter("linked", lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
