@@ -194,7 +194,7 @@ def with_successors(docs: DataFrame) -> DataFrame:
     wanted = max(1, min(BUCKETS, math.ceil(count / BUCKET_DOCS)))
     inner = [k / wanted for k in range(1, wanted)]
     limits = sorted(set(ids.approxQuantile("_rank", inner, 0.25 / wanted))) if inner and count else []
-    splits = [-math.inf, *limits, math.inf]
+    splits = [-math.inf, *(limits or [0.0]), math.inf]
     bucket = Bucketizer(splits=splits, inputCol="_rank", outputCol="_place", handleInvalid="keep")
 
     def placed(df: DataFrame) -> DataFrame:
