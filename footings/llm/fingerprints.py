@@ -187,22 +187,23 @@ def with_successors(docs: DataFrame) -> DataFrame:
     approximate quantile sketch, a pure function of the id; each bucket ends with a copy of
     the first document of the next one (`_head`).  Texts are shuffled once.
     """
-    ranked = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"),
-                         F.coalesce(F.col("doc_id"), F.lit(-(1 << 62))).cast("double").alias("_rank"))
-    ids = docs.select(F.coalesce(F.col("doc_id"), F.lit(-(1 << 62))).cast("double").alias("_rank"))
+    rank = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)).cast("bigint"))
+    ranked = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), rank.alias("_rank"))
+    ids = docs.select(rank.alias("_rank"))
     count = ids.count()
     wanted = max(1, min(BUCKETS, math.ceil(count / BUCKET_DOCS)))
     inner = [k / wanted for k in range(1, wanted)]
     limits = sorted(set(ids.approxQuantile("_rank", inner, 0.25 / wanted))) if inner and count else []
     splits = [-math.inf, *(limits or [0.0]), math.inf]
-    bucket = Bucketizer(splits=splits, inputCol="_rank", outputCol="_place", handleInvalid="keep")
+    bucket = Bucketizer(splits=splits, inputCol="_value", outputCol="_place", handleInvalid="keep")
 
     def placed(df: DataFrame) -> DataFrame:
-        return bucket.transform(df).withColumn("_bucket", (-F.col("_place")).cast("int")).drop("_place")
+        valued = df.withColumn("_value", F.col("_rank").cast("double"))
+        return bucket.transform(valued).withColumn("_bucket", (-F.col("_place")).cast("int")).drop("_place", "_value")
 
     tops = placed(ids).groupBy("_bucket").agg(F.max("_rank").alias("_rank")).orderBy("_bucket").collect()
     heads = [(tops[k - 1]["_bucket"], tops[k]["_rank"]) for k in range(len(tops))]
-    table = docs.sparkSession.createDataFrame(heads, "_bucket int, _rank double")
+    table = docs.sparkSession.createDataFrame(heads, "_bucket int, _rank bigint")
     # At most BUCKETS rows: the ids that begin a bucket.
     first = (ranked.join(F.broadcast(table), "_rank").groupBy("_bucket", "_rank")
              .agg(F.min(F.struct("text", "doc_id")).alias("h")))

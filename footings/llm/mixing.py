@@ -168,16 +168,16 @@ def mixed_documents(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     Rows equal in id and text are interchangeable: their copies are added up and dealt to
     one of them.
     """
-    key = hash60(F.concat(F.lit(seed), F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
-                          F.coalesce(F.col("text"), F.lit(""))))
-    copies = (mix(docs, seed=seed, **options).groupBy(F.col("doc_id").alias("_id"), F.col("_order"))
+    id_text, text = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_packed"),
+                        hash60(F.concat(F.lit(seed), F.lit(":"), id_text, F.lit(":"), text)).alias("_order"),
+                        F.xxhash64("doc_id").alias("_id"))
+    copies = (mix(docs, seed=seed, **options).groupBy("_order", F.xxhash64("doc_id").alias("_id"))
               .agg(F.sum("copies").alias("_copies")).filter("_copies > 0"))
-    keyed = docs.withColumn("_key", key)
-    joined = keyed.join(copies, (keyed["_key"] == copies["_order"]) & keyed["doc_id"].eqNullSafe(copies["_id"]))
-    first = F.row_number().over(Window.partitionBy("_key", "_id").orderBy(*[F.col(c) for c in docs.columns]))
-    return (joined.withColumn("_first", first).filter("_first = 1")
+    first = F.row_number().over(Window.partitionBy("_order", "_id").orderBy(F.xxhash64("_packed")))
+    return (keyed.join(copies, ["_order", "_id"]).withColumn("_first", first).filter("_first = 1")
             .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .select(*docs.columns))
+            .select("_packed.*"))
 
 
 SQL = """

@@ -242,3 +242,10 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     scored = score(docs, train(docs, labels, settings), columns)
     return (scored.withColumn("held_out", held_out(F.col("doc_id")))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of `docs` that the classifier accepts (score 0.5 or more), columns as they are."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_packed"), "text")
+    scored = score(packed, train(docs, labels, settings), ["_packed"])
+    return scored.filter(F.col("score") >= 0.5).select("_packed.*")

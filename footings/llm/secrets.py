@@ -31,6 +31,7 @@ SALTS = 32
 
 KINDS = ("assign", "access", "hex")
 SPANS = "array<struct<start:int,end:int>>"
+LINKED = "array<struct<start:int,end:int,kind:string>>"
 
 
 SECTION = 64
@@ -125,6 +126,17 @@ def link_parts(found: DataFrame, reach: int = REACH) -> DataFrame:
     return kept.groupBy("_scope").agg(F.collect_list(F.struct("start", "end", "kind")).alias("linked"))
 
 
+def _attach(found: DataFrame, linked: DataFrame, key: str) -> DataFrame:
+    """`found` with the linked spans of its scope that no base span covers, as `linked`."""
+    # Rows of one text may be a third of all: they are dealt over SALTS tasks.
+    linked = linked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = found.withColumn("_salt", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(SALTS)).cast("int"))
+    joined = salted.join(linked, ["_scope", "_salt"], "left").withColumn("linked", F.coalesce("linked", F.array().cast(LINKED)))
+    base = F.concat("assign", "access", "hex")
+    fresh = F.filter("linked", lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
+    return joined.withColumn("linked", fresh).drop("_salt")
+
+
 def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
     """One row per document: key, _scope, assign, access, hex (base spans), linked (added spans).
 
@@ -136,15 +148,7 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", reach
     """
     rows = docs.select(F.col(key), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("_scope"), F.col(text).alias("_text"))
     found = truncate_lineage(find_parts(rows, "_text").drop("_text"))
-    linked = link_parts(found, reach)
-    # Rows of one text may be a third of all: they are dealt over SALTS tasks.
-    linked = linked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = found.withColumn("_salt", F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(SALTS)).cast("int"))
-    joined = salted.join(linked, ["_scope", "_salt"], "left").withColumn("linked", F.coalesce(
-        "linked", F.array().cast("array<struct<start:int,end:int,kind:string>>")))
-    base = F.concat("assign", "access", "hex")
-    fresh = F.filter("linked", lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
-    return joined.withColumn("linked", fresh).select(key, "_scope", *KINDS, "linked")
+    return _attach(found, link_parts(found, reach), key).select(key, "_scope", *KINDS, "linked")
 
 
 def all_spans(scanned: DataFrame) -> tuple[Column, Column]:
@@ -173,19 +177,26 @@ def secret_digests(docs: DataFrame) -> DataFrame:
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(every).alias("spans"))
 
 
-def redacted(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
+def redacted(docs: DataFrame, marker: str = "[SECRET]", reach: int = REACH) -> DataFrame:
     """`docs` with every reported span replaced by `marker`; n_chars, where present, follows the text.
 
-    Overlapping spans are merged first.  Texts without spans are left exactly as they are.
-    Rows keep their columns; equal texts are redacted alike.
+    Overlapping spans are merged first.  Texts without spans, null texts too, are left
+    exactly as they are.  Rows keep their columns and number.  Only texts that hold weak
+    parts meet the linked spans in a join; the others are rewritten where they are read.
     """
-    scoped = docs.withColumn("_scope", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-    scanned = scan_secrets(docs)
-    _, every = all_spans(scanned)
-    hits = (scanned.withColumn("_spans", every).filter(F.size("_spans") > 0)
-            .select("_scope", F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("_spans"))
-            .dropDuplicates(["_scope"]))
-    none = F.array().cast(SPANS)
+    scope = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_packed"), F.col("text").alias("_text"),
+                         scope.alias("_scope"))
+    found = find_parts(packed, "_text")
+    weak = (F.size("opaque") + F.size("endpoint")) > 0
+    linked = truncate_lineage(link_parts(truncate_lineage(
+        found.filter(weak).select("_scope", *KINDS, "opaque", "endpoint")), reach))
+    alone = found.filter(~weak).withColumn("linked", F.array().cast(LINKED))
+    joined = _attach(found.filter(weak).withColumn("_row", F.xxhash64("_packed")), linked, "_row")
+    wanted = ["_packed", "_text", *KINDS, "linked"]
+    both = alone.select(*wanted).unionByName(joined.select(*wanted))
+    _, every = all_spans(both)
+    spans = F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
 
     def merge(acc: Column, s: Column) -> Column:
         last = F.element_at(acc, -1)
@@ -194,21 +205,19 @@ def redacted(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
             F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
         ).otherwise(F.concat(acc, F.array(s)))
 
-    merged = F.aggregate("_spans", none, merge)
-    # Cut points in order: the kept stretches lie between the spans.
-    stretches = F.transform(
-        F.arrays_zip(F.concat(F.array(F.lit(0)), F.col("_merged.end")).alias("a"),
-                     F.concat(F.col("_merged.start"), F.array(F.length("text"))).alias("b")),
-        lambda z: F.substring(F.col("text"), z["a"] + 1, z["b"] - z["a"]))
-    out = (scoped.join(hits, "_scope", "left").withColumn("_merged", F.when(F.col("_spans").isNotNull(), merged))
-           .withColumn("_new", F.when(F.col("_merged").isNotNull(), F.array_join(stretches, marker))))
+    both = both.withColumn("_spans", spans)
+    both = both.withColumn("_merged", F.when(F.size("_spans") > 0, F.aggregate("_spans", F.array().cast(SPANS), merge)))
+    # The kept stretches lie between the spans.
+    ends = F.concat(F.array(F.lit(0)), F.col("_merged.end"))
+    stretches = F.transform(F.concat(F.col("_merged.start"), F.array(F.length("_text"))), lambda b, i: F.substring(
+        F.col("_text"), F.get(ends, i) + 1, b - F.get(ends, i)))
+    both = both.withColumn("_new", F.when(F.col("_merged").isNotNull(), F.array_join(stretches, marker)))
     columns = []
     for name in docs.columns:
+        own = F.col("_packed")[name]
         if name == "text":
-            columns.append(F.coalesce("_new", "text").alias("text"))
+            own = F.coalesce("_new", "_text")
         elif name == "n_chars":
-            kind = docs.schema["n_chars"].dataType
-            columns.append(F.when(F.col("_new").isNotNull(), F.length("_new").cast(kind)).otherwise(F.col("n_chars")).alias("n_chars"))
-        else:
-            columns.append(F.col(name))
-    return out.select(*columns)
+            own = F.when(F.col("_new").isNotNull(), F.length("_new").cast(docs.schema[name].dataType)).otherwise(own)
+        columns.append(own.alias(name))
+    return both.select(*columns)
