@@ -94,7 +94,7 @@ def schedule(docs: DataFrame, share: float = SHARE, repeats: int = REPEATS,
 def _turns(queued: DataFrame, repeats: int) -> DataFrame:
     """One row per document and pass, with its finish time in ticks (`_tick`)."""
     turns = queued.withColumn("_pass", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    finish = (F.col("_through") + F.col("_pass") * F.col("source_size")) / F.col("target")
+    finish = F.try_divide(F.col("_through") + F.col("_pass") * F.col("source_size"), F.col("target"))
     return turns.withColumn("_tick", F.floor(finish * float(1 << TICK_BITS)))
 
 
@@ -105,7 +105,6 @@ def _cut(turns: DataFrame, budget: float) -> tuple | None:
     runs out, then the same again inside it; ties of one tick go on by the shuffle order.
     Only histograms come back to the driver, and the last few rows.
     """
-    most = budget * (1 + 0)
     turns = turns.filter(F.col("size") > 0)
     spent, inside = 0, F.lit(True)
     for column, bits in (("_tick", TICK_BITS + 4), ("_order", BITS)):
@@ -114,7 +113,7 @@ def _cut(turns: DataFrame, budget: float) -> tuple | None:
             cells = (turns.filter(inside).groupBy(digit.alias("cell"))
                      .agg(F.sum("size").alias("size"), F.count("*").alias("n")).orderBy("cell"))
             for cell in cells.toLocalIterator():
-                if spent + cell["size"] > most:
+                if spent + cell["size"] > budget:
                     break
                 spent += cell["size"]
             else:
@@ -126,7 +125,7 @@ def _cut(turns: DataFrame, budget: float) -> tuple | None:
             break
     last = turns.filter(inside).groupBy("_tick", "_order", "doc_id", "_pass").agg(F.sum("size").alias("size"))
     for row in last.orderBy("_tick", "_order", "doc_id", "_pass").toLocalIterator():
-        if spent + row["size"] > most:
+        if spent + row["size"] > budget:
             return row["_tick"], row["_order"], row["doc_id"], row["_pass"]
         spent += row["size"]
     return None
@@ -147,7 +146,8 @@ def mix(docs: DataFrame, share: float = SHARE, repeats: int = REPEATS,
     cut = _cut(_turns(queued, repeats), budget)
     taken_in = []
     for turn in range(repeats):
-        tick = F.floor((F.col("_through") + turn * F.col("source_size")) / F.col("target") * float(1 << TICK_BITS))
+        finish = F.try_divide(F.col("_through") + turn * F.col("source_size"), F.col("target"))
+        tick = F.floor(finish * float(1 << TICK_BITS))
         if cut is None:
             early = F.lit(True)
         else:

@@ -18,10 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
 from footings.llm.textarrays import _flags, blocks, code_points, word_bounds, word_hashes
 
+STATS = 12                      # features of a passage besides its word counts
 UPPER, ALNUM, DIGIT = _flags(str.isupper), _flags(str.isalnum), _flags(str.isdigit)
 
 
@@ -168,7 +169,7 @@ def held_out(key: Column) -> Column:
 def _bags(sample: DataFrame, settings: Settings) -> DataFrame:
     """doc_id, label and the passages of the sample, at most `train_passages` a document."""
     schema = StructType([StructField("order", LongType()), StructField("label", DoubleType()),
-                         StructField("width", LongType()), StructField("x", ArrayType(FloatType()))])
+                         StructField("x", BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,12 +180,10 @@ def _bags(sample: DataFrame, settings: Settings) -> DataFrame:
                 at = 0
                 for n in sizes.tolist():
                     keep = np.unique(np.linspace(0, n - 1, min(n, settings.train_passages)).round().astype(int))
-                    rows.append(x[at + keep].ravel())
+                    rows.append(x[at + keep].tobytes())
                     at += n
-            width = 12 + settings.buckets
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([width] * len(rows), pa.int64()),
-                 pa.array(rows, pa.list_(pa.float32()))], names=[f.name for f in schema])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())],
+                                             names=[f.name for f in schema])
 
     return sample.select("order", "label", "text").mapInArrow(run, schema)
 
@@ -204,8 +203,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     rows = sorted(_bags(texts, settings).collect(), key=lambda r: r["order"])
     y = np.array([r["label"] for r in rows], np.float32)
     prior = float((y.sum() + 1) / (len(y) + 2))
-    model = AttentionModel(12 + settings.buckets, settings, prior)
-    return model.fit([np.asarray(r["x"], np.float32).reshape(-1, r["width"]) for r in rows], y)
+    width = STATS + settings.buckets
+    model = AttentionModel(width, settings, prior)
+    return model.fit([np.frombuffer(r["x"], np.float32).reshape(-1, width) for r in rows], y)
 
 
 def score(docs: DataFrame, model: AttentionModel, columns: list[str] | None = None) -> DataFrame:
