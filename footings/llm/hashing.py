@@ -25,15 +25,13 @@ def sums_before(cells: DataFrame, group: list[str], cell: str, value: str, bits:
     never spans more than 2**STRIDE cells: above that, totals of coarser cells are summed
     first and added.
     """
-    running = F.sum(value).over(Window.partitionBy(*group, "_coarse").orderBy(cell)
+    coarse = f"_coarse{bits}"
+    parts = cells.withColumn(coarse, F.shiftright(cell, STRIDE) if bits > STRIDE else F.lit(0))
+    running = F.sum(value).over(Window.partitionBy(*group, coarse).orderBy(cell)
                                 .rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumn("_inner", F.coalesce(running, F.lit(0)))
     if bits <= STRIDE:
-        return (cells.withColumn("_coarse", F.lit(0))
-                .withColumn("before", F.coalesce(running, F.lit(0))).drop("_coarse"))
-    parts = cells.withColumn("_coarse", F.shiftright(cell, STRIDE))
-    coarse = sums_before(parts.groupBy(*group, "_coarse").agg(F.sum(value).alias(value)),
-                         group, "_coarse", value, bits - STRIDE)
-    coarse = coarse.select(*group, "_coarse", F.col("before").alias("_base"))
-    return (parts.withColumn("_inner", F.coalesce(running, F.lit(0)))
-            .join(coarse, [*group, "_coarse"])
-            .withColumn("before", F.col("_inner") + F.col("_base")).drop("_inner", "_base", "_coarse"))
+        return parts.withColumnRenamed("_inner", "before").drop(coarse)
+    above = sums_before(parts.groupBy(*group, coarse).agg(F.sum(value).alias(value)), group, coarse, value, bits - STRIDE)
+    return (parts.join(above.select(*group, coarse, F.col("before").alias("_base")), [*group, coarse])
+            .withColumn("before", F.col("_inner") + F.col("_base")).drop("_inner", "_base", coarse))
