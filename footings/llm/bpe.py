@@ -28,9 +28,9 @@ class Encoder:
         self.memory: dict[str, tuple[int, ...]] = {}
 
     def _propose(self, word: bytes) -> list[int]:
-        ids, longest, found, at = self.vocab.ids, self.vocab.longest, [], 0
+        ids, ahead, found, at = self.vocab.ids, self.vocab.ahead, [], 0
         while at < len(word):
-            end = min(len(word), at + longest)
+            end = min(len(word), at + ahead.get(word[at:at + 3], 2))
             while (token := ids.get(word[at:end])) is None:
                 end -= 1
             found.append(token)
@@ -56,12 +56,13 @@ class Encoder:
         """The ids of each text."""
         split = [self.vocab.split_added(t) if t else [] for t in texts]
         words = [[self.vocab.words(part) if k % 2 == 0 else part for k, part in enumerate(parts)] for parts in split]
-        if len(self.memory) > CACHE_WORDS:
-            self.memory.clear()
         new = set()
         for parts in words:
             for part in parts[::2]:
                 new.update(part)
+        if len(self.memory) > CACHE_WORDS:
+            # Frequent words are in nearly every batch and stay.
+            self.memory = {w: self.memory[w] for w in new if w in self.memory}
         new.difference_update(self.memory)
         if new:
             self.learn(list(new))
@@ -109,12 +110,16 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     place = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = dict(enumerate(vocabulary(path).bytes))
+        # An id outside the vocabulary is the last entry, which stands for nothing.
+        spelled = [*vocabulary(path).bytes, b""]
         for batch in batches:
             for part in pieces(batch):
                 lists = part.column(place)
-                texts = [b"".join([spelled.get(i, b"") for i in (lists[k].values.to_pylist() if lists[k].is_valid else ())])
-                         .decode("utf-8", "replace") for k in range(part.num_rows)]
+                values = lists.values.to_numpy(zero_copy_only=False)
+                values = np.where((values >= 0) & (values < len(spelled)), values, len(spelled) - 1)
+                ends = lists.offsets.to_numpy()
+                texts = [b"".join(map(spelled.__getitem__, values[a:b].tolist())).decode("utf-8", "replace")
+                         for a, b in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[f.name for f in fields])
 
     return encoded.mapInArrow(run, StructType(fields))

@@ -30,12 +30,12 @@ class PrefixCounter:
 
     def prefixes(self, word: bytes) -> list[int]:
         """Token counts of the first 0, 1, 2, … bytes of a word."""
-        ids, longest, pairs = self.vocab.ids, self.vocab.longest, self._pairs
+        ids, behind, pairs = self.vocab.ids, self.vocab.behind, self._pairs
         if len(pairs) > 4 * CACHE_WORDS:
             pairs.clear()
         last, counts = [-1], [0]
         for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
+            for start in range(max(0, end - behind.get(word[max(0, end - 3):end], 2)), end):
                 token = ids.get(word[start:end])
                 if token is None:
                     continue

@@ -15,11 +15,12 @@ import numpy as np
 
 KEY = 20                      # a pair of ids as one number: left << KEY | right
 NEVER = 1 << 30
+SHORT_WORD = 24               # bytes up to which a plain scan merges faster than a heap
 # The words of the byte-level pre-tokenizer (fixed value), for characters that Python
 # classes alike; the others are replaced by a stand-in of the right class first.
 WORDS = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 STAND_IN = {"letter": "a", "number": "0", "other": "!", "space": "\t"}
-CACHE_WORDS = 400_000         # bound of a worker's memory of words; forgotten words are computed again
+CACHE_WORDS = 500_000         # bound of a worker's memory of words; forgotten words are computed again
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -65,7 +66,13 @@ class Vocabulary:
         # Tokens that merging never produces on their own bytes can not occur in an encoding.
         self.ids = {content: number for number, content in enumerate(self.bytes)
                     if content and number not in specials and self.merged(content) == [number]}
-        self.longest = max(map(len, self.ids))
+        # How long a token can be that begins, or ends, with given bytes; 2 where none are listed.
+        self.ahead: dict[bytes, int] = {}
+        self.behind: dict[bytes, int] = {}
+        for content in self.ids:
+            if len(content) > 2:
+                self.ahead[content[:3]] = max(self.ahead.get(content[:3], 0), len(content))
+                self.behind[content[-3:]] = max(self.behind.get(content[-3:], 0), len(content))
         self._probe = Tokenizer.from_file(path).pre_tokenizer
         self._known: set[str] = set()
         self._odd: dict[int, str] = {}
@@ -108,6 +115,8 @@ class Vocabulary:
     def merged(self, word: bytes) -> list[int]:
         """Exact merging: lowest rank first, leftmost first among equals."""
         ids = [self.single[b] for b in word]
+        if len(ids) <= SHORT_WORD:
+            return self._merged_short(ids)
         after = list(range(1, len(ids) + 1))
         before = list(range(-1, len(ids) - 1))
         merges, heap = self.merges, []
@@ -132,6 +141,21 @@ class Vocabulary:
                         heapq.heappush(heap, (found[0], x, found[1], ids[x], ids[y]))
         return [i for i in ids if i >= 0]
 
+    def _merged_short(self, ids: list[int]) -> list[int]:
+        """Merging of a short word: look at every pair again after each merge."""
+        find = self.merges.get
+        while len(ids) > 1:
+            rank, at, whole = NEVER, -1, -1
+            for k in range(len(ids) - 1):
+                found = find(ids[k] << KEY | ids[k + 1])
+                if found and found[0] < rank:
+                    rank, whole = found
+                    at = k
+            if at < 0:
+                break
+            ids[at:at + 2] = [whole]
+        return ids
+
     def _spine(self, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per token: its edge pieces from the byte up to the whole (columns), and how many."""
         path = [np.arange(self.size, dtype=np.int32)]
