@@ -35,10 +35,11 @@ def failed_checks(checks: DataFrame, where: Column, flags: list[str]) -> DataFra
 
 
 def gate(violations: DataFrame, shown: int = 20) -> None:
-    """Raise when anything is left: one action, and only a few rows reach the driver."""
+    """Raise when anything is left: the first `shown` violations and how many there are in all."""
     first = violations.limit(shown).collect()
     if first:
-        raise GateFailed("\n".join(f"{r['gate']} {r['where']}: {r['problem']}" for r in first))
+        total = violations.count() if len(first) == shown else len(first)
+        raise GateFailed("\n".join([f"{total} violations", *(f"{r['gate']} {r['where']}: {r['problem']}" for r in first)]))
 
 
 def fact_integrity(facts: DataFrame, where: Column, metrics: dict[str, str], documents: DataFrame,

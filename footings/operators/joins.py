@@ -17,8 +17,18 @@ from footings.operators.filters import lookup
 
 
 def money(col: Column | str) -> Column:
-    """Exact money for sums: addition order cannot change the total."""
-    return (F.col(col) if isinstance(col, str) else col).cast("decimal(18,2)")
+    """Exact money for sums: addition order cannot change the total.
+
+    What no such amount can hold (NaN, sixteen digits and more before the point) is null
+    here and listed by `unreadable_money`.
+    """
+    return (F.col(col) if isinstance(col, str) else col).try_cast("decimal(18,2)")
+
+
+def unreadable_money(df: DataFrame, key: list[str], col: str) -> DataFrame:
+    """(key…, amount, problem) of amounts that are stated but can not be summed."""
+    return df.filter(F.col(col).isNotNull() & money(col).isNull()).select(
+        *key, F.col(col).cast("string").alias("amount"), F.lit("amount can not be summed").alias("problem"))
 
 
 def orphans(facts: DataFrame, dim: DataFrame, key: str | list[str]) -> DataFrame:
@@ -183,14 +193,17 @@ def verify_on_page(rows: DataFrame, page_figures: DataFrame, row_key: list[str],
 
 
 def corroborate_values(rows: DataFrame, published: DataFrame, row_key: list[str], year: str,
-                       values: list[str], value: str, floor: float = 1000.0) -> DataFrame:
-    """Per row: how many of its large figures were published for the same year."""
-    long = rows.select(*row_key, year, F.explode(F.array(*values)).alias("_v")) \
-        .filter(F.abs("_v") >= floor).withColumn("_v", F.round(F.abs("_v"), 2))
+                       values: list[str], value: str, floor: float = 0.0) -> DataFrame:
+    """Per row: how many of its figures, of `floor` or more, were published for the same year.
+
+    Rows without such a figure are kept with nothing checked.
+    """
+    long = rows.select(*row_key, year, F.explode_outer(F.array(*values)).alias("_v")) \
+        .withColumn("_v", F.when(F.abs("_v") >= floor, F.round(F.abs("_v"), 2)))
     known = published.select(year, F.round(F.abs(F.col(value)), 2).alias("_v")).distinct() \
         .withColumn("_hit", F.lit(True))
     return long.join(known, [year, "_v"], "left").groupBy(*row_key).agg(
-        F.count("*").alias("checked"), F.count("_hit").alias("corroborated"))
+        F.count("_v").alias("checked"), F.count("_hit").alias("corroborated"))
 
 
 def near_join(left: DataFrame, right: DataFrame, keys: list[str], a: str, b: str,

@@ -126,19 +126,18 @@ def assemble_tokens(chars: DataFrame, part: list[str], island: str, text: str, x
 
 
 def wrap_labels(lines: DataFrame, part: list[str], order: str, label: str, is_row: Column, is_text: Column,
-                text: str, stop: Column | None = None, longest: int = 40) -> DataFrame:
+                text: str, stop: Column | None = None) -> DataFrame:
     """Figure rows with their full labels: a name printed around its figures is put together.
 
     A row without a label takes the latest text line since the row above, and the
-    short line right below it.  A line used up that way is not offered to the next
+    line right below it, unless `stop` rules that line out.  A line used up that way is not offered to the next
     row; in a run of such rows the line between two of them belongs to every other
     row, which is what the alternating position in the run decides.  `part` is one
     printed table, so the windows span its lines.
     """
     w = Window.partitionBy(*part).orderBy(order)
-    short = F.length(F.col(text)) <= longest
     lines = lines.select("*", is_row.alias("_row"), is_text.alias("_text"),
-                         (short if stop is None else short & ~stop).alias("_short"))
+                         (F.lit(True) if stop is None else ~stop).alias("_short"))
     columns = [c for c in lines.columns if c not in ("_row", "_text", "_short")]
     bare, fragment = F.col("_row") & (F.col(label) == ""), F.col("_text") & F.col("_short")
     lines = lines.select("*", bare.alias("_bare"), fragment.alias("_frag"))
@@ -233,8 +232,8 @@ def sections(lines: DataFrame, part: list[str], order: list[str], text: str, hea
 
 
 def section_prose(lines: DataFrame, part: list[str], order: list[str], text: str, headings: dict[str, str],
-                  limit: int = 14, chunk: str | None = None, wanted: list[str] | None = None) -> DataFrame:
-    """Prose under each heading, up to `limit` lines and the next heading.
+                  chunk: str | None = None, wanted: list[str] | None = None) -> DataFrame:
+    """Prose under each heading, up to the next heading or the end of the part.
 
     Blank and page-number lines are skipped; "n/a" and the like are null, and so is a
     section without text.
@@ -247,8 +246,7 @@ def section_prose(lines: DataFrame, part: list[str], order: list[str], text: str
     if wanted:
         body, heads = body.filter(F.col("section").isin(wanted)), heads.filter(F.col("section").isin(wanted))
     place = [F.col(c) for c in ([chunk] if chunk else []) + order]
-    kept = first_ranked(body, [*part, "section"], [c.asc() for c in place], limit)
-    prose = kept.groupBy(*part, "section").agg(F.array_join(F.transform(
+    prose = body.groupBy(*part, "section").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct(F.struct(*place).alias("p"), F.col("_t")))), lambda x: x["_t"]), " ").alias("prose"))
     return heads.join(prose, [*part, "section"], "left").select(
         *part, "section", F.when(~F.col("prose").rlike(EMPTY_PROSE), F.col("prose")).alias("prose"))

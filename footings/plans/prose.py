@@ -16,8 +16,7 @@ GRID_TITLE = "Projected Surplus/(Deficit)"
 GRID_NUMBER = r"\(?-?\$?\s?[\d,]+(?:\.\d+)?%?\)?%?"
 GRID_BASIS = {"estimate": "estimate", "budget": "budget", "projection": "projected", "actual": "actual",
               "recommended": "recommended"}
-TITLE_REACH, BASIS_REACH = 8, 5
-BLOCK_TITLE, BLOCK_REACH = "Rate Impact", 220
+BLOCK_TITLE = "Rate Impact"
 LEVELS_HEADER = r"([\d,]+)\s*gallons per month\s+([\d,]+)\s*gallons per month"
 LOCATIONS = [("In-Town Rates", "intown"), ("Out-of-Town Rates", "outoftown")]
 SERVICES = ["Water", "Sewer"]
@@ -33,34 +32,36 @@ def _index(lines: Column, test) -> Column:
     return F.get(places, F.lit(0))
 
 
-def _span(lines: Column, start: Column, count: int) -> Column:
-    return F.slice(lines, F.coalesce(start, F.lit(1)), F.lit(count))
+def _from(lines: Column, start: Column) -> Column:
+    return F.slice(lines, F.coalesce(start, F.lit(1)), F.greatest(F.size(lines), F.lit(1)))
 
 
 def projection_grid(pages: DataFrame, metrics: list[tuple[str, str, str]]) -> DataFrame:
     """Facts of the projection grid on each document's first page that holds one.
 
+    The years are the first line of fiscal years below the title, however far; the bases
+    are the first line below that names one for every year.
+
     `metrics` lists (pattern before the figures, metric, unit).  A row whose figures do
     not match the years is skipped.
     """
     lines = F.split("text", "\n")
 
     def is_years(line):
-        n = F.size(_words(line))
-        return n.between(3, 6) & F.forall(_words(line), lambda w: w.rlike(r"^FY\d{2,4}$"))
+        return F.forall(_words(line), lambda w: w.rlike(r"^FY\d{2,4}$"))
 
     # Few pages hold a grid: those few are spread over all cores before they are read.
     titled = pages.filter(F.col("text").contains(GRID_TITLE)).repartition("doc_id", "page_no")
     grid = titled.withColumn("_lines", lines) \
         .withColumn("_at", _index(F.col("_lines"), lambda x: x.contains(GRID_TITLE)))
-    below = _index(_span(F.col("_lines"), F.col("_at"), TITLE_REACH), is_years)
+    below = _index(_from(F.col("_lines"), F.col("_at")), is_years)
     grid = grid.withColumn("_hdr", F.col("_at") + below - 1).filter("_hdr is not null")
     year = F.transform(_words(F.element_at("_lines", F.col("_hdr"))), lambda w: F.when(
         F.length(w) == 4, F.substring(w, 3, 2).cast("int") + 2000).otherwise(F.substring(w, 3, 4).cast("int")))
     grid = grid.withColumn("_years", year)
     known = F.array(*[F.lit(b) for b in GRID_BASIS])
     names = F.create_map(*[F.lit(x) for pair in GRID_BASIS.items() for x in pair])
-    basis_line = F.get(F.filter(_span(F.col("_lines"), F.col("_hdr"), BASIS_REACH), lambda x: (
+    basis_line = F.get(F.filter(_from(F.col("_lines"), F.col("_hdr")), lambda x: (
         F.size(_words(x)) == F.size("_years")) & F.forall(_words(F.lower(x)), lambda w: F.array_contains(known, w))), F.lit(0))
     basis = F.when(basis_line.isNotNull(), F.transform(_words(F.lower(basis_line)), lambda w: names[w])) \
         .otherwise(F.transform("_years", lambda _: F.lit("reported")))
@@ -95,7 +96,10 @@ def rate_impact(pages: DataFrame) -> DataFrame:
     cells = []
     for label, location in LOCATIONS:
         start = F.instr(F.col("_block"), F.lit(label))
-        reach = F.when(start > 0, F.substring(F.col("_block"), start, F.lit(BLOCK_REACH)))
+        # A location's figures end where the next location is named.
+        after = F.when(start > 0, F.substring(F.col("_block"), start + len(label), F.length("_block")))
+        nexts = [F.nullif(F.instr(after, F.lit(other)), F.lit(0)) for other, _ in LOCATIONS if other != label]
+        reach = F.substring(after, F.lit(1), F.coalesce(*nexts, F.length(after)))
         for service in SERVICES:
             pattern = service + r"\s+\$([\d.,]+)\s+\$([\d.,]+)"
             for group, level in ((1, "avg"), (2, "min")):
@@ -106,8 +110,8 @@ def rate_impact(pages: DataFrame) -> DataFrame:
     return block.select("doc_id", "page_no", F.inline(F.array(*cells))).filter("value is not null")
 
 
-def bullets_after(pages: DataFrame, heading: str, stop: list[str], longest: int = 60) -> DataFrame:
-    """Short unpunctuated lines under a heading, up to a line that starts with a stop phrase."""
+def bullets_after(pages: DataFrame, heading: str, stop: list[str]) -> DataFrame:
+    """Unpunctuated lines under a heading, up to a line that starts with a stop phrase."""
     text = F.col("text")
     found = pages.filter(text.contains(heading))
     rest = F.substring(text, F.instr(text, F.lit(heading)) + len(heading), F.length(text))
@@ -115,5 +119,5 @@ def bullets_after(pages: DataFrame, heading: str, stop: list[str], longest: int
     stops = F.array(*[F.lit(x) for x in stop])
     end = _index(lines, lambda s: F.exists(stops, lambda x: s.startswith(x)))
     kept = F.when(end.isNull(), lines).otherwise(F.slice(lines, F.lit(1), F.greatest(end - 1, F.lit(0))))
-    items = F.filter(kept, lambda s: (F.length(s) <= longest) & ~s.rlike(r"[.:?]$"))
+    items = F.filter(kept, lambda s: ~s.rlike(r"[.:?]$"))
     return found.select("doc_id", "page_no", F.posexplode(items).alias("item_no", "item"))

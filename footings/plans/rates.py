@@ -20,7 +20,6 @@ DOLLARS = r"\$\s*([\d,]+\.\d{2})"
 SCHEDULE_STARTS, SCHEDULE_ENDS = "Volume Charges", "Capital Facilities Fee"
 RATE = r"\$?\s*(\d\s*\.\s*\d{2,6})"
 TABLE_YEAR = r"\b(20[012]\d)\b"
-LABEL_PREFIX = 8
 
 
 def schedule_pages(pages: DataFrame) -> DataFrame:
@@ -87,7 +86,7 @@ def rate_sets(values: DataFrame, tol: float = 0.02) -> DataFrame:
 def rate_tables(pages: DataFrame, title: str, rows: list[tuple[str, str]]) -> DataFrame:
     """(doc_id, entity, year, rate) from the pages of a rate table.
 
-    Rows are known by their label's first letters.  A continuation page prints figures
+    Rows are known by their labels.  A continuation page prints figures
     only: its rows are taken by position, and only if there are exactly as many as the
     table has.  State lasts one page.
     """
@@ -102,7 +101,12 @@ def rate_tables(pages: DataFrame, title: str, rows: list[tuple[str, str]]) -> Da
     body = lines.join(heads, page).filter((F.col("line_no") > F.col("_head")["line_no"]) & (F.size("rates") > 0))
     labelled = F.col("line").rlike("[A-Za-z]")
     counts = body.groupBy(*page).agg(F.count("*").alias("_n"), F.bool_or(labelled).alias("_labelled"))
-    named = F.coalesce(*[F.when(strip(F.col("line")).startswith(text[:LABEL_PREFIX]), key) for key, text in rows])
+    # The printed label is compared whole; where one is cut short, it must fit one entity only.
+    printed = strip(F.regexp_extract("line", r"^([^\d$]*)", 1))
+    fits = F.array_compact(F.array(*[F.when((printed != "") & (printed.startswith(text) | F.lit(text).startswith(printed)), key)
+                                     for key, text in rows]))
+    exact = F.coalesce(*[F.when(printed == text, key) for key, text in rows])
+    named = F.coalesce(exact, F.when(F.size(fits) == 1, F.get(fits, F.lit(0))))
     placed = ordered.ordinal(body.select(*page, "line_no", "line", "rates", "_head"), page, ["line_no"], "_i")
     keys = F.array(*[F.lit(k) for k, _ in rows])
     entity = F.when(F.col("_labelled"), named).when(F.col("_n") == len(rows), F.get(keys, (F.col("_i") - 1).cast("int")))

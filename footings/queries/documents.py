@@ -173,9 +173,9 @@ def d05(t):
 
 
 @query("d16_bullets_after", """
-SELECT o_orderkey AS doc_id, CAST(i AS INTEGER) AS item_no, CASE i WHEN 0 THEN o_orderpriority ELSE 'Clerk ' || o_custkey END AS item FROM orders, range(2) r(i)""")
+SELECT o_orderkey AS doc_id, CAST(i AS INTEGER) AS item_no, CASE i WHEN 0 THEN o_orderpriority WHEN 1 THEN repeat('y', 81) ELSE 'Clerk ' || o_custkey END AS item FROM orders, range(3) r(i)""")
 def d16(t):
-    text = text_of(F.lit("Services, including:"), F.lit(""), F.col("o_orderpriority"), F.lit("This is a sentence."), F.lit("y" * 61),
+    text = text_of(F.lit("Services, including:"), F.lit(""), F.col("o_orderpriority"), F.lit("This is a sentence."), F.lit("y" * 81),
                    F.concat(F.lit("  Clerk "), "o_custkey"), F.lit("Together, they serve"), F.lit("Not a service"))
     pages = t.orders.select(F.col("o_orderkey").alias("doc_id"), F.lit(1).alias("page_no"), text.alias("text"))
     return prose.bullets_after(pages, "including:", ["Together,"]).select("doc_id", "item_no", "item")
@@ -333,7 +333,7 @@ def d14(t):
 
 @query("d12_fold_subtotals", """
 WITH s AS (SELECT l_orderkey AS page_no, count(*) AS n FROM lineitem GROUP BY 1)
-SELECT page_no, CAST(CASE WHEN n BETWEEN 2 AND 8 THEN n ELSE 0 END AS BIGINT) AS folded, n BETWEEN 2 AND 8 AS proven FROM s""")
+SELECT page_no, CAST(CASE WHEN n >= 2 THEN n ELSE 0 END AS BIGINT) AS folded, n >= 2 AS proven FROM s""")
 def d12(t):
     """A line that sums the run above it is no further line: counting it twice would break the total."""
     from pyspark.sql import Window

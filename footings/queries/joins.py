@@ -194,7 +194,7 @@ WITH r AS (SELECT o_orderkey, year(o_orderdate) AS y, unnest([o_totalprice, 900,
 p AS (SELECT DISTINCT year(l_shipdate) AS y, round(abs(l_extendedprice), 2) AS v FROM lineitem
       UNION SELECT year(o_orderdate), round(abs(floor(o_totalprice)), 2) FROM orders WHERE o_orderstatus = 'F')
 SELECT o_orderkey, count(*) AS checked, count(p.v) AS corroborated
-FROM r LEFT JOIN p ON p.y = r.y AND p.v = round(abs(r.v), 2) WHERE abs(r.v) >= 1000 GROUP BY 1""")
+FROM r LEFT JOIN p ON p.y = r.y AND p.v = round(abs(r.v), 2) GROUP BY 1""")
 def j10(t):
     rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("a"),
                            F.lit(900.0).alias("b"), F.floor("o_totalprice").cast("double").alias("c"))

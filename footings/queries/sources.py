@@ -224,8 +224,10 @@ def s10(t):
 
 @query("s11_dataset_digest", """
 WITH h AS (SELECT sha256(text) AS h, count(*) AS n FROM documents GROUP BY 1),
-     b AS (SELECT substr(h, 1, 2) AS b, sha256(string_agg(h || ':' || n, '' ORDER BY h)) AS d, sum(n) AS n FROM h GROUP BY 1)
-SELECT substr(sha256(string_agg(d, '' ORDER BY b)), 1, 12) AS digest, CAST(sum(n) AS BIGINT) AS members FROM b""")
+     e AS (SELECT n, sha256(h || ':' || n) AS e FROM h),
+     s AS (SELECT sum(('0x' || substr(e, 1, 15))::BIGINT) AS a, sum(('0x' || substr(e, 16, 15))::BIGINT) AS b,
+           sum(('0x' || substr(e, 31, 15))::BIGINT) AS c, sum(('0x' || substr(e, 46, 15))::BIGINT) AS d, sum(n) AS n FROM e)
+SELECT substr(sha256(concat_ws(':', a, b, c, d)), 1, 12) AS digest, CAST(n AS BIGINT) AS members FROM s""")
 def s11(t):
     return datasets.dataset_digest(t.documents.select(F.sha2("text", 256).alias("sha")), "sha")
 

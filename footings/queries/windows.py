@@ -245,8 +245,8 @@ WITH h AS (SELECT conv_id, turn, role, text, max(CASE WHEN role = 'user' THEN tu
 f AS (SELECT conv_id, min(turn) AS at FROM conversations WHERE role = 'user' GROUP BY 1),
 b AS (SELECT h.conv_id, h.turn, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t, row_number() OVER (PARTITION BY h.conv_id ORDER BY turn) AS rn FROM h JOIN f ON f.conv_id = h.conv_id AND h.head = f.at
       WHERE role <> 'user' AND regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> '')
-SELECT f.conv_id, 'question' AS section, (SELECT string_agg(t, ' ' ORDER BY turn) FROM b WHERE b.conv_id = f.conv_id AND rn <= 2) AS prose FROM f""".replace("\\\\", "\\"))
+SELECT f.conv_id, 'question' AS section, (SELECT string_agg(t, ' ' ORDER BY turn) FROM b WHERE b.conv_id = f.conv_id) AS prose FROM f""".replace("\\\\", "\\"))
 def w18(t):
-    """The first user turn heads a section; up to two turns after it are its prose."""
+    """The first user turn heads a section; the turns up to the next user turn are its prose."""
     lines = t.conversations.withColumn("line", F.when(F.col("role") == "user", "<<USER>>").otherwise(F.col("text")))
-    return ops.section_prose(lines, ["conv_id"], ["turn"], "line", {"question": "^<<USER>>$"}, 2)
+    return ops.section_prose(lines, ["conv_id"], ["turn"], "line", {"question": "^<<USER>>$"})

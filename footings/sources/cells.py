@@ -57,9 +57,14 @@ def records_with_overflow(cells: DataFrame, sheet: list[str], columns: list[str]
     named = named_cells(cells, sheet, pattern)
     pick = [F.max(F.when(F.col("heading") == c, F.col("value"))).alias(c) for c in columns]
     extra = F.when(~F.col("heading").isin(columns) & ~blank(F.col("value")),
-                   F.struct("heading", "value"))
+                   F.struct("col", "heading", "value"))
+    # Of columns with one heading the last one counts.
+    found = F.array_sort(F.collect_list(extra))
+    headings = F.array_distinct(F.transform(found, lambda x: x["heading"]))
+    other = F.map_from_entries(F.transform(headings, lambda h: F.struct(h.alias("heading"), F.element_at(
+        F.filter(found, lambda x: x["heading"] == h), -1)["value"].alias("value"))))
     return (named.groupBy(*sheet, "row")
-            .agg(*pick, F.map_from_entries(F.array_distinct(F.collect_list(extra))).alias("other_fields"))
+            .agg(*pick, other.alias("other_fields"))
             .filter(~blank(F.col(label))))
 
 

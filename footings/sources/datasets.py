@@ -73,24 +73,19 @@ def pending(manifest: DataFrame, processed: DataFrame, key: str | list[str]) ->
     return manifest.join(processed, key, "left_anti")
 
 
-def dataset_digest(df: DataFrame, sha: str, prefix: int = 2) -> DataFrame:
+def dataset_digest(df: DataFrame, sha: str) -> DataFrame:
     """Order-independent fingerprint of a set of hashes, as one row.
 
-    Hashes are counted first (copies collapse map-side), digested per leading
-    `prefix` characters, and only the 16^prefix bucket digests meet at the top.
+    Hashes are counted first (copies collapse map-side); each hash with its count is
+    hashed again, and the four 60-bit parts of that are summed.  Sums merge in any order
+    and no list is built, however many hashes there are.
     """
     counted = df.groupBy(sha).agg(F.count("*").alias("_n"))
-    entry = F.struct(F.col(sha).alias("h"), F.col("_n").alias("n"))
-    buckets = counted.groupBy(F.substring(sha, 1, prefix).alias("_b")).agg(
-        F.sha2(F.array_join(F.transform(
-            F.array_sort(F.collect_list(entry)),
-            lambda e: F.concat(e["h"], F.lit(":"), e["n"].cast("string"))), ""), 256).alias("_d"),
-        F.sum("_n").alias("_n"))
-    return buckets.agg(
-        F.substring(F.sha2(F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.struct("_b", "_d"))), lambda e: e["_d"]), ""), 256), 1, 12)
-        .alias("digest"),
-        F.sum("_n").alias("members"))
+    entry = counted.select("_n", F.sha2(F.concat_ws(":", F.col(sha), F.col("_n").cast("string")), 256).alias("_e"))
+    parts = [F.sum(F.conv(F.substring("_e", 1 + 15 * i, 15), 16, 10).cast("decimal(28,0)")).alias(f"_{i}") for i in range(4)]
+    sums = entry.agg(*parts, F.sum("_n").alias("members"))
+    digest = F.sha2(F.concat_ws(":", *[F.col(f"_{i}").cast("string") for i in range(4)]), 256)
+    return sums.select(F.substring(digest, 1, 12).alias("digest"), "members")
 
 
 def presence(expected: DataFrame, held: DataFrame, key: str) -> DataFrame:

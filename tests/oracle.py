@@ -55,7 +55,7 @@ def main(argv):
     sf_dir = argv[0]
     wanted = argv[1:]
     spark = get_session("oracle", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g", "spark.log.level": "ERROR"})
     con = connect(sf_dir)
     sql = oracle_sql()
