@@ -52,12 +52,12 @@ def a04(t):
 
 
 @query("a05_coverage_matrix", """
-WITH c AS (SELECT o_custkey AS k, year(o_orderdate) AS y, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
+WITH c AS (SELECT o_custkey AS k, year(o_orderdate) AS y, count(*) AS n FROM orders GROUP BY 1, 2),
 g AS (SELECT k, y FROM (SELECT DISTINCT k FROM c), (SELECT DISTINCT y FROM c))
 SELECT g.k AS o_custkey, CAST(g.y AS INTEGER) AS year, coalesce(n, 0) AS facts, CASE WHEN n IS NULL THEN 'empty' WHEN n < 2 THEN 'thin' ELSE 'covered' END AS state
 FROM g LEFT JOIN c ON c.k = g.k AND c.y = g.y""")
 def a05(t):
-    facts = t.orders.filter("o_orderstatus = 'F'").select("o_custkey", F.year("o_orderdate").alias("year"))
+    facts = t.orders.select("o_custkey", F.year("o_orderdate").alias("year"))
     return ops.coverage_matrix(facts, "o_custkey", "year", 2)
 
 
@@ -73,12 +73,14 @@ def a06(t):
 
 @query("a07_cited_documents", """
 WITH c AS (SELECT 'returned' AS s, l_partkey AS d FROM lineitem WHERE l_returnflag = 'R' UNION SELECT 'accepted', l_partkey FROM lineitem WHERE l_returnflag = 'A'
+  UNION SELECT 'open', l_partkey FROM lineitem WHERE l_returnflag = 'N'
   UNION SELECT 'catalogue', p_partkey FROM part)
 SELECT d AS document, count(*) AS datasets FROM c GROUP BY 1""")
 def a07(t):
     return ops.evidence_base(ops.cited_documents({
         "returned": (t.lineitem.filter("l_returnflag = 'R'"), "l_partkey"),
-        "accepted": (t.lineitem.filter("l_returnflag = 'A'"), "l_partkey"), "catalogue": (t.part, "p_partkey")}))
+        "accepted": (t.lineitem.filter("l_returnflag = 'A'"), "l_partkey"),
+        "open": (t.lineitem.filter("l_returnflag = 'N'"), "l_partkey"), "catalogue": (t.part, "p_partkey")}))
 
 
 @query("a08_corroborate", """
@@ -430,11 +432,11 @@ def a35(t):
 
 
 @query("u03_multiset", """
-WITH a AS (SELECT n_regionkey AS k FROM nation), b AS (SELECT c_nationkey % 5 AS k FROM customer WHERE c_custkey < 12)
+WITH a AS (SELECT o_custkey AS k FROM orders), b AS (SELECT c_custkey AS k FROM customer UNION ALL SELECT s_suppkey FROM supplier)
 SELECT 'both' AS side, k FROM (SELECT k FROM a INTERSECT ALL SELECT k FROM b) UNION ALL SELECT 'left', k FROM (SELECT k FROM a EXCEPT ALL SELECT k FROM b)""")
 def u03(t):
-    a = t.nation.select(F.col("n_regionkey").alias("k"))
-    b = t.customer.filter("c_custkey < 12").select((F.col("c_nationkey") % 5).alias("k"))
+    a = t.orders.select(F.col("o_custkey").alias("k"))
+    b = t.customer.select(F.col("c_custkey").alias("k")).unionByName(t.supplier.select(F.col("s_suppkey").alias("k")))
     return a.intersectAll(b).select(F.lit("both").alias("side"), "k").unionByName(a.exceptAll(b).select(F.lit("left").alias("side"), "k"))
 
 

@@ -214,20 +214,20 @@ def p17(t):
 
 
 @query("p18_resolve_unique", """
-WITH f AS (SELECT o_orderkey, 'file ' || o_orderkey AS filename, 2000 + o_orderkey % 97 + (o_custkey % 5) * 100 AS yr FROM orders WHERE o_orderkey % 50 = 0),
+WITH f AS (SELECT o_orderkey, 'file ' || o_orderkey AS filename, CASE WHEN o_orderkey % 50 = 0 THEN 2000 + o_orderkey % 97 + (o_custkey % 5) * 100 ELSE 1000 END AS yr FROM orders),
 y AS (SELECT yr, count(*) AS n, min(filename) AS only_file FROM f GROUP BY 1 HAVING yr BETWEEN 2000 AND 2099),
 r AS (SELECT c_custkey, c_custkey % 100 + 2000 AS yr, c_custkey % 4 = 0 AND c_custkey * 50 IN (SELECT o_orderkey FROM f) AS reg FROM customer)
 SELECT c_custkey, CASE WHEN reg THEN 'registered' WHEN n = 1 THEN 'by year' WHEN n > 1 THEN 'ambiguous' ELSE 'unverifiable' END AS resolution,
   CASE WHEN reg THEN 'file ' || (c_custkey * 50) WHEN n = 1 THEN only_file END AS resolved_file
 FROM r LEFT JOIN y USING (yr)""")
 def p18(t):
-    held = t.orders.filter("o_orderkey % 50 = 0").select(
-        F.concat(F.lit("file "), "o_orderkey").alias("filename"),
-        (F.col("o_orderkey") % 97 + (F.col("o_custkey") % 5) * 100 + 2000).cast("int").alias("year"))
+    year = (F.col("o_orderkey") % 97 + (F.col("o_custkey") % 5) * 100 + 2000).cast("int")
+    held = t.orders.select(F.concat(F.lit("file "), "o_orderkey").alias("filename"),
+                           F.when(F.col("o_orderkey") % 50 == 0, year).otherwise(1000).alias("year"))
     source = F.concat(F.lit("REP_"), F.col("c_custkey") % 100 + 2000, F.lit("_"), F.col("c_custkey"))
     refs = t.customer.select("c_custkey", source.alias("src"))
-    register = t.customer.filter("c_custkey % 4 = 0").select(
-        source.alias("source_id"), F.concat(F.lit("file "), F.col("c_custkey") * 50).alias("filename"))
+    register = t.customer.select(
+        F.when(F.col("c_custkey") % 4 == 0, source).otherwise(F.concat(F.lit("OTHER_"), "c_custkey")).alias("source_id"), F.concat(F.lit("file "), F.col("c_custkey") * 50).alias("filename"))
     return ops.resolve_unique(refs, "src", register, held).select("c_custkey", "resolution", "resolved_file")
 
 

@@ -153,19 +153,19 @@ def j07_proven(t):
 
 
 @query("j08_merge_series", """
-WITH c AS (SELECT c_nationkey AS k, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS v FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey % 4 <> 0 GROUP BY 1),
-s AS (SELECT s_nationkey AS k, CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS v FROM supplier WHERE s_nationkey % 3 <> 0 GROUP BY 1),
-f AS (SELECT n_nationkey AS k, 1.5::DOUBLE AS v FROM nation WHERE n_regionkey = 1),
+WITH c AS (SELECT c_nationkey AS k, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) FILTER (c_nationkey % 4 <> 0) AS DOUBLE) AS v FROM customer GROUP BY 1),
+s AS (SELECT s_nationkey AS k, CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) FILTER (s_nationkey % 3 <> 0) AS DOUBLE) AS v FROM supplier GROUP BY 1),
+f AS (SELECT n_nationkey AS k, CASE WHEN n_regionkey = 1 THEN 1.5::DOUBLE END AS v FROM nation),
 j AS (SELECT coalesce(c.k, s.k, f.k) AS nationkey, c.v AS county, coalesce(s.v, f.v) AS town, f.v AS forward
       FROM c FULL JOIN s ON c.k = s.k FULL JOIN f ON f.k = coalesce(c.k, s.k))
 SELECT nationkey, county, town, forward, round(county + town, 6) AS combined,
        CASE WHEN county IS NULL AND town IS NOT NULL THEN 'no county' WHEN county IS NOT NULL AND town IS NULL THEN 'no town' END AS incomplete FROM j""")
 def j08(t):
-    county = t.customer.filter("c_mktsegment = 'BUILDING' and c_nationkey % 4 <> 0").groupBy(F.col("c_nationkey").alias("nationkey")) \
-        .agg(F.sum(d("c_acctbal")).cast("double").alias("value"))
-    town = t.supplier.filter("s_nationkey % 3 <> 0").groupBy(F.col("s_nationkey").alias("nationkey")) \
-        .agg(F.sum(d("s_acctbal")).cast("double").alias("value"))
-    forward = t.nation.filter("n_regionkey = 1").select(F.col("n_nationkey").alias("nationkey"), F.lit(1.5).alias("value"))
+    county = t.customer.groupBy(F.col("c_nationkey").alias("nationkey")) \
+        .agg(F.sum(F.when(F.col("c_nationkey") % 4 != 0, d("c_acctbal"))).cast("double").alias("value"))
+    town = t.supplier.groupBy(F.col("s_nationkey").alias("nationkey")) \
+        .agg(F.sum(F.when(F.col("s_nationkey") % 3 != 0, d("s_acctbal"))).cast("double").alias("value"))
+    forward = t.nation.select(F.col("n_nationkey").alias("nationkey"), F.when(F.col("n_regionkey") == 1, 1.5).alias("value"))
     return ops.merge_series({"county": county, "town": town, "forward": forward}, "nationkey",
                             ["county", "town"], {"town": "forward"})
 
@@ -359,17 +359,17 @@ def j18(t):
 
 
 @query("j19_overlay", """
-WITH c AS (SELECT c_nationkey AS k, max(c_acctbal) AS hi, CASE WHEN c_nationkey % 5 <> 0 THEN min(c_acctbal) END AS lo FROM customer GROUP BY 1),
-s AS (SELECT s_nationkey AS k, max(s_acctbal) AS hi, min(s_acctbal) AS lo FROM supplier WHERE s_nationkey < 12 GROUP BY 1)
-SELECT coalesce(c.k, s.k) AS nationkey, CASE WHEN s.k IS NULL THEN 'base' ELSE 'preferred' END AS how,
+WITH c AS (SELECT c_custkey AS k, c_acctbal AS hi, CASE WHEN c_nationkey % 5 <> 0 THEN c_acctbal END AS lo FROM customer),
+s AS (SELECT o_custkey AS k, max(o_totalprice) AS hi, min(o_totalprice) AS lo FROM orders GROUP BY 1)
+SELECT coalesce(c.k, s.k) AS custkey, CASE WHEN s.k IS NULL THEN 'base' ELSE 'preferred' END AS how,
   CASE WHEN s.k IS NULL THEN c.hi ELSE s.hi END AS hi, CASE WHEN s.k IS NULL THEN c.lo ELSE s.lo END AS lo,
   CAST(CASE WHEN s.k IS NULL AND c.lo IS NULL THEN 1 ELSE 0 END AS INTEGER) AS blanks FROM c FULL JOIN s ON c.k = s.k""")
 def j19(t):
-    base = t.customer.groupBy(F.col("c_nationkey").alias("nationkey")).agg(
-        F.max("c_acctbal").alias("hi"), F.min(F.when(F.col("c_nationkey") % 5 != 0, F.col("c_acctbal"))).alias("lo"))
-    best = t.supplier.filter("s_nationkey < 12").groupBy(F.col("s_nationkey").alias("nationkey")).agg(
-        F.max("s_acctbal").alias("hi"), F.min("s_acctbal").alias("lo"))
-    return ops.overlay(base, best, "nationkey", ["hi", "lo"])
+    base = t.customer.select(F.col("c_custkey").alias("custkey"), F.col("c_acctbal").alias("hi"),
+                             F.when(F.col("c_nationkey") % 5 != 0, F.col("c_acctbal")).alias("lo"))
+    best = t.orders.groupBy(F.col("o_custkey").alias("custkey")).agg(
+        F.max("o_totalprice").alias("hi"), F.min("o_totalprice").alias("lo"))
+    return ops.overlay(base, best, "custkey", ["hi", "lo"])
 
 
 @query("j20_timeline", """
