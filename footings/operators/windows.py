@@ -83,10 +83,11 @@ def grain_ordinal(df: DataFrame, grain: list[str], order: list[str], repeatable:
                   chunk: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(numbered rows, violations): printed order inside a grain.
 
-    Only a repeatable source may print one grain twice; otherwise every copy is a violation.
+    Only a repeatable source may print one grain twice; otherwise the grain is a violation
+    and its first row alone is kept.
     """
     numbered = ordered.ordinal(df.filter(repeatable), grain, order, out, chunk)
-    single = df.filter(~repeatable).withColumn(out, F.lit(1).cast("long"))
+    single = first_ranked(df.filter(~repeatable), grain, [F.col(c).asc() for c in order]).withColumn(out, F.lit(1).cast("long"))
     clash = df.groupBy(*grain).agg(F.count("*").alias("rows"), F.count_if(~repeatable).alias("_single")) \
         .filter("rows > 1 and _single > 0").drop("_single")
     return numbered.unionByName(single), clash

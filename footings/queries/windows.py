@@ -86,7 +86,8 @@ def w05_change(t):
 SELECT l_orderkey, l_returnflag, l_linenumber, l_partkey, l_suppkey, l_quantity,
   row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS line
 FROM lineitem WHERE l_linestatus = 'F'
-UNION ALL SELECT l_orderkey, l_returnflag, l_linenumber, l_partkey, l_suppkey, l_quantity, 1 FROM lineitem WHERE l_linestatus = 'O'""")
+UNION ALL SELECT l_orderkey, l_returnflag, l_linenumber, l_partkey, l_suppkey, l_quantity, 1 FROM lineitem WHERE l_linestatus = 'O'
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) = 1""")
 def w06(t):
     """Lines of a grain are numbered in printed order, chunk by chunk of line numbers."""
     good, _ = ops.grain_ordinal(t.lineitem, ["l_orderkey", "l_returnflag"], LINE_ORDER,
