@@ -12,7 +12,6 @@ be among the nearest, so nothing is lost and no group of copies crowds a graph.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np

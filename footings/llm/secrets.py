@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footings.llm.hashing import hash60
 from footings.session import truncate_lineage
 
 # The patterns of the base kinds.
