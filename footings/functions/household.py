@@ -1,7 +1,7 @@
 """Household arithmetic: property tax, block-rate utility bills.
 
-Unknown, not applicable and zero are three different answers: unknown is null,
-and not applicable is a zero with `applies` false.
+A null is a value nobody knows.  A levy that does not reach the household is 0 with
+`applies` false, so that it can be told from a levy of nothing.
 """
 
 from __future__ import annotations
@@ -17,23 +17,23 @@ LEVELS = (("min", 2000), ("avg", 4000))
 
 
 def half_up(value: Column) -> Column:
-    """Round to whole dollars the way a browser does: floor(x + 0.5)."""
+    """Whole dollars, halves upwards also below zero."""
     return F.floor(value + 0.5).cast("double")
 
 
 def clamp(value: Column, bounds: str) -> Column:
-    """Hold a value inside the named bounds; null stays null."""
+    """`value` cut to the range called `bounds` in LIMITS (null: null)."""
     low, high = LIMITS[bounds]
     return F.when(value.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), value)))
 
 
 def tax_on_value(value: Column, cents: Column) -> Column:
-    """Dollars a year at a rate in cents per $100."""
+    """Annual dollars for `cents` per 100 dollars of value."""
     return value / 100 * (cents / 100)
 
 
 def cents_on_value(value: Column, cents: Column) -> Column:
-    """What N cents of any rate cost this home in a year."""
+    """Annual dollars for `cents` on a rate, whoever levies it."""
     return value / 100 * 0.01 * cents
 
 
@@ -50,7 +50,7 @@ def _share(applies: Column, value: Column, cents: Column) -> Column:
 
 def property_tax_bill(value: Column, location: Column, town_cents: Column,
                       county_cents: Column) -> Column:
-    """Each government's share, and the total of the rounded applicable shares."""
+    """Town and county tax as structs; the total adds the rounded parts that apply."""
     town = _share(inside(location), value, town_cents)
     county = _share(F.lit(True), value, county_cents)
     total = town["rounded"] + county["rounded"]
@@ -60,13 +60,13 @@ def property_tax_bill(value: Column, location: Column, town_cents: Column,
 
 
 def policy_dollars(value: Column, location: Column, cents: Column) -> Column:
-    """What N cents of the town's rate cost this home; null outside the limits."""
+    """`cents_on_value` of a town cent; outside the town there is none (null)."""
     return F.when(inside(location), cents_on_value(value, cents))
 
 
 def annual_change(value: Column, location: Column, town_cents: Column, county_cents: Column,
                   utility_monthly: Column) -> Column:
-    """How much more next year, from every part that moved; a missing part adds nothing."""
+    """Sum of the yearly differences of town, county and utility; a null difference counts 0."""
     zero = F.lit(0.0)
     town = F.coalesce(policy_dollars(value, location, town_cents), zero)
     county = F.coalesce(cents_on_value(value, county_cents), zero)
@@ -76,7 +76,7 @@ def annual_change(value: Column, location: Column, town_cents: Column, county_ce
 
 
 def applicable_rates(location: Column, town_cents: Column, county_cents: Column) -> Column:
-    """The rates that reach this household, in order, and their sum."""
+    """Known rates as an array (town first) beside their sum."""
     rates = F.filter(F.array(
         F.struct(F.lit("town").alias("key"),
                  F.when(inside(location), town_cents).alias("cents")),
@@ -87,7 +87,7 @@ def applicable_rates(location: Column, town_cents: Column, county_cents: Column)
 
 
 def block_bill(charge: Column, rate_per_1000: Column, threshold: Column, gallons: Column) -> Column:
-    """A fixed charge up to the threshold, then a rate per 1,000 gallons."""
+    """Two-block bill: `charge` covers `threshold` gallons, every further 1,000 cost the rate."""
     over = F.when(gallons > threshold, gallons - threshold).otherwise(F.lit(0.0))
     return charge + over / 1000 * rate_per_1000
 
@@ -142,7 +142,7 @@ def component_phrase(components: Column) -> Column:
 
 
 def resident_total(tax: Column, utility: Column) -> Column:
-    """The household's year in one row; tax and utilities are never added together."""
+    """Tax and utility figures side by side in one struct, without a common sum."""
     return F.struct(tax["total"].alias("tax_annual"), tax["monthly"].alias("tax_monthly"),
                     tax["complete"].alias("complete"),
                     utility["bill"].alias("utility_monthly"),

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from footings.operators import proof
 from footings.plans import lineitems, prose, tables
 from footings.queries.registry import query
 
