@@ -23,7 +23,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"          # AKIA and its whole run, 20 characters o
 HEX = r"[0-9a-f]{24,}"                 # whole runs of 24 characters or more
 ASSIGN_VALUE = 6
 # Weak kinds.
-OPAQUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}={0,2}"
+OPAQUE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}={0,2}"
 ENDPOINT = r"(?:[a-z][a-z0-9+.-]{1,20}://[^\s\"'<>]+|\b[a-z0-9][a-z0-9.-]*\.(?:amazonaws\.com|internal)\b)"
 REACH = 400
 SALTS = 32

@@ -65,6 +65,21 @@ def test_base_and_linked_spans(spark, documents):
     assert some > 20
 
 
+def spans_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r["doc_id"]: r["spans"] for r in secret_digests(docs).collect()}
+
+
+def test_unspaced_assignments(spark):
+    access, secret = "AKIA" + "IOSFODNN7EXAMPLE", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    env = f"AWS_ACCESS_KEY_ID={access}\nAWS_SECRET_ACCESS_KEY={secret}\n"
+    shell = f"export AWS_ACCESS_KEY_ID={access}; export AWS_SECRET_ACCESS_KEY={secret}"
+    alone = f"AWS_SECRET_ACCESS_KEY={secret}"
+    assert spans_of(spark, [env, shell, alone]) == {0: "access:18:38,opaque:61:101", 1: "access:25:45,opaque:76:116", 2: ""}
+    docs = spark.createDataFrame([(0, env)], "doc_id bigint, text string")
+    assert redacted(docs).first()["text"] == "AWS_ACCESS_KEY_ID=[SECRET]\nAWS_SECRET_ACCESS_KEY=[SECRET]\n"
+
+
 def test_prose(documents):
     got = {r["doc_id"]: r["base_sha256"] for r in secret_digests(documents).collect()}
     for r in documents.collect():
