@@ -94,10 +94,11 @@ def find_parts(docs: DataFrame, text: str = "text") -> DataFrame:
 def link_parts(found: DataFrame, reach: int = REACH) -> DataFrame:
     """Weak spans of each scope `_scope` that complementary parts support: _scope, linked array<struct>.
 
-    Parts are keyed by (scope, window), windows as wide as the reach; a weak part looks
-    into its own and both neighbouring windows and the distance is then checked.  Spans
-    have a least length and do not overlap within a kind, so a window holds a bounded
-    number of them and no scope, however long, makes a hot key.
+    Parts are keyed by (scope, side, window), windows as wide as the reach: what lies before
+    a weak part by its end, what lies after it by its start.  A weak part looks into the
+    windows of its own start and end and their neighbours, and the distance is then checked,
+    so that parts of any length meet.  Spans have a least length and do not overlap within a
+    kind, so a window holds a bounded number of them and no scope, however long, makes a hot key.
     """
     def named(kind: str) -> Column:
         return F.transform(kind, lambda s: F.struct(
@@ -106,15 +107,19 @@ def link_parts(found: DataFrame, reach: int = REACH) -> DataFrame:
     parts = found.filter((F.size("opaque") + F.size("endpoint")) > 0).dropDuplicates(["_scope"]).select(
         "_scope", F.explode(F.concat(*[named(kind) for kind in (*KINDS, "opaque", "endpoint")])).alias("p"))
     parts = parts.select("_scope", "p.*")
-    parts = parts.withColumn("_window", F.floor(F.col("start") / reach).cast("int"))
-    weak = (parts.filter(F.col("kind").isin("opaque", "endpoint"))
-            .withColumn("_near", F.explode(F.array(F.col("_window") - 1, F.col("_window"), F.col("_window") + 1))))
-    other = parts.select("_scope", F.col("_window").alias("_near"), F.col("kind").alias("o_kind"),
-                         F.col("start").alias("o_start"), F.col("end").alias("o_end"))
-    apart = F.greatest(F.col("o_start") - F.col("end"), F.col("start") - F.col("o_end"), F.lit(0))
-    # A span that covers another is one part, not two.
-    overlap = (F.col("o_start") < F.col("end")) & (F.col("start") < F.col("o_end"))
-    met = weak.join(other, ["_scope", "_near"]).filter((apart <= reach) & ~overlap)
+
+    def keyed(before: str, after: str, around: int) -> DataFrame:
+        """The parts once per window about their edge `before` (side 0) and `after` (side 1)."""
+        places = [F.struct(F.lit(side).alias("_side"), (F.floor(F.col(edge) / reach) + step).cast("int").alias("_window"))
+                  for side, edge in enumerate((before, after)) for step in range(-around, around + 1)]
+        return parts.withColumn("_place", F.explode(F.array(*places))).select("*", "_place.*").drop("_place")
+
+    weak = keyed("start", "end", 1).filter(F.col("kind").isin("opaque", "endpoint"))
+    other = keyed("end", "start", 0).select("_scope", "_side", "_window", F.col("kind").alias("o_kind"),
+                                            F.col("start").alias("o_start"), F.col("end").alias("o_end"))
+    # A span that covers another is one part, not two: it lies on neither side.
+    apart = F.when(F.col("_side") == 0, F.col("start") - F.col("o_end")).otherwise(F.col("o_start") - F.col("end"))
+    met = weak.join(other, ["_scope", "_side", "_window"]).filter(apart.between(0, reach))
     secret = F.col("o_kind").isin("assign", "hex")
     support = met.groupBy("_scope", "kind", "start", "end").agg(
         F.max(F.col("o_kind") == "access").alias("access"), F.max(secret).alias("secret"),

@@ -80,6 +80,21 @@ def test_unspaced_assignments(spark):
     assert redacted(docs).first()["text"] == "AWS_ACCESS_KEY_ID=[SECRET]\nAWS_SECRET_ACCESS_KEY=[SECRET]\n"
 
 
+def test_long_parts_beside_their_complement(spark):
+    access, run = "AKIA" + "Q" * 16, "a1" * 10
+    texts, want = [], []
+    for n in (401, 1000, 5000):
+        long = ("xY7z" * n)[:n]
+        texts += [f"{long} {access}", f"{access} {long}", f"{long} {'-' * 398} {access}", f"{long} {'.' * 399} {access}",
+                  f"token={long} {run} db.internal", f"https://h/{long} {access} {run}"]
+        want += [f"opaque:0:{n},access:{n + 1}:{n + 21}", f"access:0:20,opaque:21:{n + 21}",
+                 f"opaque:0:{n},access:{n + 400}:{n + 420}", f"access:{n + 401}:{n + 421}",
+                 f"assign:0:{n + 6},opaque:{n + 7}:{n + 27}",
+                 f"endpoint:0:{n + 10},opaque:6:{n + 10},access:{n + 11}:{n + 31},opaque:{n + 32}:{n + 52}"]
+    got = spans_of(spark, texts)
+    assert [got[k] for k in range(len(texts))] == want
+
+
 def test_prose(documents):
     got = {r["doc_id"]: r["base_sha256"] for r in secret_digests(documents).collect()}
     for r in documents.collect():
