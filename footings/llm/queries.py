@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footings.llm import (ann, bpe, chat, fingerprints, mixing, orderminhash, quality, secrets, sharding,
-                          tokencounts)
+from footings.llm import (ann, bpe, chat, decontamination, fingerprints, mixing, orderminhash, quality, secrets,
+                          sharding, tokencounts)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orderminhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leak_digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
@@ -91,10 +95,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_decontamination": op11_decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op4_chat_formatting": chat.SQL,
     "op7_sharding": sharding.SQL,
     "op8_mixing": mixing.SQL,
+    "op11_decontamination": decontamination.SQL,
 }
