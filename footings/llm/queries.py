@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footings.llm import (ann, bpe, chat, decontamination, fingerprints, mixing, orderminhash, quality, secrets,
-                          sharding, tokencounts)
+from footings.llm import (ann, bpe, chat, collocations, decontamination, fingerprints, mixing, orderminhash, quality,
+                          secrets, sharding, tokencounts)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,10 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leak_digests(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
@@ -96,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_decontamination": op11_decontamination,
+    "op12_collocations": op12_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -103,4 +108,5 @@ ORACLES: dict[str, str] = {
     "op7_sharding": sharding.SQL,
     "op8_mixing": mixing.SQL,
     "op11_decontamination": decontamination.SQL,
+    "op12_collocations": collocations.SQL,
 }
