@@ -33,7 +33,7 @@ from footings.llm.tables import removed, written
 from footings.llm.textarrays import mixed
 
 BREAK = "\n"                  # no word holds one
-TEXT_BYTES = 8_000_000        # of texts cut into words at a time
+TEXT_BYTES = 4_000_000        # of texts cut into words at a time
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ class Settings:
     longest: int = 4          # words of a candidate
     absorbed: int = 80        # per cent of a phrase's occurrences inside one longer candidate that drop it
     top: int = 2000           # phrases reported per language
-    shard_words: int = 2_000_000
+    shard_words: int = 1_000_000
     bits: int = 25            # the bitmap of frequent pairs has 2**bits bits
 
 
@@ -126,7 +126,9 @@ def transform(ids: np.ndarray) -> np.ndarray:
     """The Burrows-Wheeler transform of a sequence that ends in a break, by the first four ids of each rotation."""
     pair = ids.astype(np.int64) << 32 | np.roll(ids, -1)
     pair = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-    four = np.argsort(pair << 32 | np.roll(pair, -2))
+    pair <<= 32
+    pair |= np.roll(pair >> 32, -2)
+    four = np.argsort(pair)
     return ids[four - 1]
 
 
@@ -154,7 +156,7 @@ def phrases(last: np.ndarray, longest: int, followed=None) -> Iterator[tuple[np.
             likely = np.zeros(len(last), bool)
             likely[starts] = followed(column[0][starts], column[1][starts])
             good = np.repeat(likely[np.flatnonzero(fresh)], np.diff(np.append(np.flatnonzero(fresh), len(last))))
-        label = np.cumsum(fresh)
+        label = np.cumsum(fresh, dtype=np.int32)
 
 
 def _indexes(shards: DataFrame, vocabulary: DataFrame) -> DataFrame:
