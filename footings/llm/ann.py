@@ -12,6 +12,7 @@ be among the nearest, so nothing is lost and no group of copies crowds a graph.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +31,8 @@ class Settings:
     relax: float = 1.2          # an edge goes if another neighbour is this factor closer to its end
     batch: int = 256            # points added at once
     starts: int = 12            # entry points besides the most central one
-    query_block: int = 4096     # queries that meet a shard in one task
+    query_block: int = 512      # queries that are searched at once
+    most_tasks: int = 20_000    # partitions that shards are dealt to
 
 
 def usable(vector: Column) -> Column:
@@ -180,21 +182,64 @@ def build_index(vectors: DataFrame, keep: int, settings: Settings = Settings(),
     """The graphs of all shards as rows: dim, shard, place, vector, ids, edges, start; written to the shared folder."""
     nodes = truncate_lineage(distinct_vectors(vectors, keep, key, vector))
     shards = max(1, math.ceil(nodes.count() / settings.shard_rows))
-    nodes = nodes.select(F.size("vector").alias("dim"),
-                         F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int").alias("shard"), "vector", "ids")
+    nodes = nodes.select(F.size("vector").alias("dim"), F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int").alias("shard"),
+                         F.col("vector").cast("array<double>").alias("vector"), "ids")
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ids", key=lambda c: c.map(lambda ids: ids[0]), ignore_index=True)
-        points = np.stack(pdf["vector"].to_numpy()).astype(np.float32)
+        points = Frame(np.stack(pdf["vector"].to_numpy())).points
         edges, starts = build_graph(points, settings)
         return pdf.assign(place=np.arange(len(pdf), dtype=np.int32), edges=list(edges), start=np.isin(np.arange(len(pdf)), starts))
 
-    kind = nodes.schema["vector"].dataType.simpleString()
-    grown = nodes.groupBy("dim", "shard").applyInPandas(
-        grow, f"dim int, shard int, vector {kind}, ids array<bigint>, place int, edges array<int>, start boolean")
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, parts = None, []
+        for pdf in frames:
+            for found, some in pdf.groupby(["dim", "shard"]):
+                if found != key and parts:
+                    yield grow(pd.concat(parts))
+                    parts = []
+                key = found
+                parts.append(some)
+        if parts:
+            yield grow(pd.concat(parts))
+
+    grown = _dealt(nodes, shards, settings, "dim", "shard").mapInPandas(
+        run, "dim int, shard int, vector array<double>, ids array<bigint>, place int, edges array<int>, start boolean")
     return truncate_lineage(grown)
 
 
+class Frame:
+    """A shard's vectors moved to their middle and scaled, so that neither offsets nor sizes cost digits or overflow."""
+
+    def __init__(self, vectors: np.ndarray):
+        half = vectors * 0.5
+        low, high = half.min(0), half.max(0)
+        self.middle = low + (high - low) * 0.5
+        self.size = float(np.abs(half - self.middle).max()) or 1.0
+        self.points = self.placed(vectors)
+
+    def placed(self, vectors: np.ndarray) -> np.ndarray:
+        # Beyond this the squares of distances would overflow; it is farther than all of the shard, in the same direction.
+        return np.clip((vectors * 0.5 - self.middle) / self.size, -1e150, 1e150)
+
+
+def distance(gaps: np.ndarray) -> np.ndarray:
+    """Lengths of the rows; where squares overflow or vanish, they are taken of parts of the largest component."""
+    with np.errstate(over="ignore", under="ignore"):
+        plain = np.sqrt((gaps * gaps).sum(1))
+        odd = ~((plain > 1e-140) & (plain < np.inf))
+        if odd.any():
+            largest = np.maximum(np.abs(gaps[odd]).max(1), 5e-324)
+            plain[odd] = largest * np.sqrt(((gaps[odd] / largest[:, None]) ** 2).sum(1))
+    return plain
+
+
+def _dealt(rows: DataFrame, shards: int, settings: Settings, *order: str) -> DataFrame:
+    """Rows in partitions by their shard's number, sorted: no two shards meet in one task while others idle."""
+    parts = min(shards, settings.most_tasks)
+    return rows.repartitionById(parts, F.pmod(F.col("shard"), F.lit(parts)).cast("int")).sortWithinPartitions(*order)
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int, settings: Settings = Settings(), key: str = "vec_id",
            vector: str = "embedding") -> DataFrame:
     """The k nearest rows found for every query: query_id, rank, vec_id, score.
@@ -204,44 +249,53 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, settings: Settings =
       a query is no candidate of its own; repeated rows count once.  Vectors of another
       length are no candidates.  Fewer than k candidates are all returned; an empty table
       gives no rows; extra columns are ignored.
-    * Queries meet every shard in blocks; a task holds one shard and one block.
+    * Queries stream through every shard; a task holds one shard's graph and one block of queries.
     """
     index = build_index(vectors, k + 1, settings, key, vector)
     asked = (queries.select(F.col(key).cast("bigint").alias("query_id"), F.col(vector).alias("query"))
              .filter(F.col("query_id").isNotNull() & usable(F.col("query"))).dropDuplicates(["query_id", "query"]))
-    blocks = max(1, math.ceil(asked.count() / settings.query_block))
     last = index.agg(F.max("shard")).first()[0] or 0
     asked = asked.select(F.size("query").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(last))).alias("shard"),
-                         F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "query_id", "query")
-    placed = index.select(*[F.col(c).alias(c) for c in index.columns]).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+                         F.col("query").cast("array<double>").alias("vector"), F.array("query_id").alias("ids"))
+    both = index.withColumn("query", F.lit(False)).unionByName(asked.withColumn("query", F.lit(True)), allowMissingColumns=True)
+    columns = ["query_id", "vec_id", "score"]
 
-    def meet(graph: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "vec_id", "score"]
-        if graph.empty or some.empty:
-            return pd.DataFrame({c: [] for c in columns})
+    def meet(graph: pd.DataFrame) -> Callable[[pd.DataFrame], pd.DataFrame]:
         graph = graph.sort_values("place", ignore_index=True)
-        exact = np.stack(graph["vector"].to_numpy())
-        points, edges = exact.astype(np.float32), np.stack(graph["edges"].to_numpy())
-        starts = np.flatnonzero(graph["start"].to_numpy()).astype(np.int32)
-        rows = np.stack(some["query"].to_numpy())
-        out = []
-        for lo in range(0, len(rows), 512):
-            part = rows[lo:lo + 512]
-            ids, _, _ = beam_search(points, edges, starts, part.astype(np.float32), settings.beam)
-            for q, found in zip(range(lo, lo + len(part)), ids):
+        exact, edges = np.stack(graph["vector"].to_numpy()), np.stack(graph["edges"].to_numpy())
+        starts = np.flatnonzero(graph["start"].to_numpy().astype(bool)).astype(np.int32)
+        frame, copies = Frame(exact), graph["ids"].to_numpy()
+
+        def answer(some: pd.DataFrame) -> pd.DataFrame:
+            rows, owns = np.stack(some["vector"].to_numpy()), [ids[0] for ids in some["ids"]]
+            ids, _, _ = beam_search(frame.points, edges, starts, frame.placed(rows), settings.beam)
+            out = []
+            for q, (own, found) in enumerate(zip(owns, ids)):
                 found = found[found >= 0]
-                gap = exact[found].astype(np.float64) - rows[q].astype(np.float64)
-                score = np.sqrt((gap * gap).sum(1))
-                own, taken = some["query_id"].iloc[q], []
+                score, taken = distance(exact[found] - rows[q]), []
                 for at in np.argsort(score, kind="stable"):
                     if len(taken) > k and score[at] > taken[k - 1][0]:
                         break
-                    taken += [(score[at], i) for i in graph["ids"].iloc[found[at]] if i != own]
+                    taken += [(score[at], i) for i in copies[found[at]] if i != own]
                 taken.sort()
                 out += [(own, i, s) for s, i in taken[:k]]
-        return pd.DataFrame(out, columns=columns)
+            return pd.DataFrame(out, columns=columns)
+
+        return answer
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, parts, answer = None, [], None
+        for pdf in frames:
+            for (dim, shard, query), some in pdf.groupby(["dim", "shard", "query"]):
+                if (dim, shard) != key:
+                    key, parts, answer = (dim, shard), [], None
+                if not query:
+                    parts.append(some)
+                elif parts:
+                    answer = answer or meet(pd.concat(parts))
+                    for lo in range(0, len(some), settings.query_block):
+                        yield answer(some.iloc[lo:lo + settings.query_block])
 
-    met = (placed.groupBy("dim", "shard", "block").cogroup(asked.groupBy("dim", "shard", "block"))
-           .applyInPandas(meet, "query_id bigint, vec_id bigint, score double"))
+    met = _dealt(both, last + 1, settings, "dim", "shard", "query").mapInPandas(run, "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return met.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

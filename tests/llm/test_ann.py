@@ -63,3 +63,35 @@ def test_graph_has_bounded_degree_and_reaches_everything():
                 seen.add(int(n))
                 todo.append(int(n))
     assert len(seen) >= 695
+
+
+def recall(spark, vectors):
+    rows = dict(enumerate(vectors))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows.items()], "vec_id bigint, embedding array<double>")
+    got = search(df, df.filter("vec_id % 100 = 0"), 10, Settings(shard_rows=400)).collect()
+    asked = [i for i in rows if i % 100 == 0]
+    assert len(got) == 10 * len(asked)
+    hits = 0
+    for q in asked:
+        gaps = np.stack([rows[i] / 2 - rows[q] / 2 for i in rows if i != q])
+        largest = np.abs(gaps).max()
+        near = np.argsort(((gaps / largest) ** 2).sum(1), kind="stable")[:10]
+        others = [i for i in rows if i != q]
+        hits += len({others[k] for k in near} & {r["vec_id"] for r in got if r["query_id"] == q})
+    return hits / len(got)
+
+
+def test_offsets_and_large_components_cost_no_recall(spark):
+    base = np.random.default_rng(4).standard_normal((1200, 12))
+    assert recall(spark, base + 1e8) >= 0.9
+    assert recall(spark, base * 1e200) >= 0.9
+    assert recall(spark, base * 1e300 + 1e307) >= 0.9
+    assert recall(spark, base * 1e-200) >= 0.9
+
+
+def test_every_shard_is_one_partition_and_the_index_is_not_copied(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(900)], "vec_id bigint, embedding array<double>")
+    found = search(df, df, 3, Settings(shard_rows=100))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "CoGroups" not in plan
+    assert found.count() == 2700
