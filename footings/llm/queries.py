@@ -25,8 +25,12 @@ CONTEXT = 512
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = tokencounts.prefix_counts(_table(spark, sf_dir, "documents"), _tokenizer(), stored=False)
-    return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+    """All answers are read from the stored counts: the last one, and the longest prefix that fits the context."""
+    stored = tokencounts.prefix_counts(_table(spark, sf_dir, "documents"), _tokenizer())
+    counts = F.col("counts")
+    n_tokens = tokencounts.tokens_of_prefix(counts, F.size(counts) - 1)
+    return stored.select("doc_id", "n_bytes", n_tokens.cast("bigint").alias("n_tokens"), (n_tokens > CONTEXT).alias("over_limit"),
+                         tokencounts.longest_within(counts, CONTEXT).cast("bigint").alias("chars_within_limit"))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

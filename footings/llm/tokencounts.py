@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
@@ -27,6 +28,7 @@ class PrefixCounter:
         self.vocab = vocab
         self._pairs: dict[int, bool] = {}
         self.totals = _Memory(lambda word: int(self.prefixes(word.encode())[-1]))
+        self.cuts = _Memory(lambda word: np.array(self._cut_word(word), np.int32).tobytes())
 
     def prefixes(self, word: bytes) -> list[int]:
         """Token counts of the first 0, 1, 2, … bytes of a word."""
@@ -60,27 +62,36 @@ class PrefixCounter:
 
     def at_prefixes(self, text: str) -> np.ndarray:
         """Token counts of the first 0, 1, 2, … code points of a text, each as the library would count it."""
-        out, done = [0], 0
+        out, done = [np.zeros(1, np.int32)], 0
+        before, start = "", 0
         for place, part in enumerate(self.vocab.split_added(text)):
             if place % 2:
                 # A prefix that ends inside an added token is ordinary text.
-                whole = self._before + part
-                for cut in range(1, len(part)):
-                    out.append(self._start + self.total(whole[:len(self._before) + cut]))
+                inside = [start + self.total((before + part)[:len(before) + cut]) for cut in range(1, len(part))]
                 done += 1
-                out.append(done)
+                out.append(np.array([*inside, done], np.int32))
                 continue
-            self._before, self._start = part, done
-            words = self.vocab.words(part) if part else []
-            for k, word in enumerate(words):
-                counts = self._cut_word(word)
-                if k and word[0].isspace() and words[k - 1].isspace():
-                    # At the end of a run of blanks the run is one word.
-                    run = words[k - 1] + word[0]
-                    counts[0] = self.prefixes(run.encode())[-1] - self.totals[words[k - 1]]
-                out.extend(done + c for c in counts)
-                done += self.totals[word]
-        return np.asarray(out, np.int32)
+            before, start = part, done
+            if part:
+                counts = self._of_words(self.vocab.words(part))
+                out.append(counts + np.int32(done))
+                done += int(counts[-1])
+        return np.concatenate(out)
+
+    def _of_words(self, words: list[str]) -> np.ndarray:
+        """Counts after 1, 2, … code points of neighbouring words: those of each word, moved by all words before it."""
+        cut = [self.cuts[word] for word in words]
+        counts = np.frombuffer(b"".join(cut), np.int32)
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut)) // 4
+        ends = np.cumsum(sizes)
+        totals = np.cumsum(counts[ends - 1], dtype=np.int32)
+        out = counts + np.repeat(np.concatenate([[np.int32(0)], totals[:-1]]), sizes)
+        for k in [k for k, word in enumerate(words) if word.isspace()]:
+            if k + 1 < len(words) and words[k + 1][0].isspace():
+                # At the end of a run of blanks the run is one word.
+                run = words[k] + words[k + 1][0]
+                out[ends[k]] = totals[k] + self.prefixes(run.encode())[-1] - counts[ends[k] - 1]
+        return out
 
     def _cut_word(self, word: str) -> list[int]:
         """Counts after 1, 2, … code points of a word."""
@@ -141,7 +152,9 @@ def prefix_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
                 columns = [part.column(0), pa.array([len(t.encode()) for t in texts], pa.int64())]
                 if stored:
                     counts = [counter.at_prefixes(t) for t in texts]
-                    columns += [pa.array([int(c[-1]) for c in counts], pa.int64()), pa.array(counts, pa.list_(pa.int32()))]
+                    ends = np.cumsum([0, *map(len, counts)]).astype(np.int32)
+                    columns += [pa.array([int(c[-1]) for c in counts], pa.int64()),
+                                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(counts)))]
                 else:
                     columns.append(pa.array([counter.total(t) for t in texts], pa.int64()))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
@@ -149,18 +162,34 @@ def prefix_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     return docs.select(key, text).mapInArrow(run, StructType(fields))
 
 
-def pieces(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """A batch in slices, so that only a few texts are Python objects at a time."""
-    for start in range(0, batch.num_rows, rows):
-        yield batch.slice(start, rows)
+def pieces(batch: pa.RecordBatch, rows: int = 256, size: int = 16_000_000) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of few rows and, but for single texts, few bytes: only those are Python objects at a time."""
+    length_of = pc.list_value_length if pa.types.is_list(batch.schema.field(1).type) else pc.binary_length
+    lengths = pc.fill_null(length_of(batch.column(1)), 0).to_pylist()
+    start, held = 0, 0
+    for at, length in enumerate(lengths):
+        if at > start and (at - start == rows or held + length > size):
+            yield batch.slice(start, at - start)
+            start, held = at, 0
+        held += length
+    if start < len(lengths):
+        yield batch.slice(start)
 
 
 def tokens_of_prefix(counts: Column, characters: Column) -> Column:
-    """Tokens of the first `characters` code points, from stored counts."""
+    """Tokens of the first `characters` code points, from stored counts.
+
+    Null where counts or `characters` are null or `characters` is negative; beyond the end, the count of the whole text.
+    """
     return F.get(counts, F.least(characters, F.size(counts) - 1).cast("int"))
 
 
 def longest_within(counts: Column, budget: int) -> Column:
-    """The most code points a prefix within `budget` tokens can have, from stored counts."""
-    places = F.filter(F.sequence(F.lit(0), F.size(counts) - 1), lambda p: F.get(counts, p) <= budget)
-    return F.element_at(places, -1)
+    """The most code points a prefix within `budget` tokens can have, from stored counts.
+
+    Counts may fall where a letter joins its word, so the last place within the budget is looked for.
+    Null where counts are null or the budget is negative.
+    """
+    whole = F.size(counts) - 1
+    last = F.array_max(F.transform(counts, lambda count, place: F.when(count <= budget, place)))
+    return F.when(counts.isNull() | F.lit(budget < 0), F.lit(None)).when(F.get(counts, whole) <= budget, whole).otherwise(last)
