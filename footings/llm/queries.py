@@ -68,7 +68,7 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(_table(spark, sf_dir, "documents"))
+    return sharding.assign_shards(_table(spark, sf_dir, "documents"), sharding.QUERY_BYTES)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

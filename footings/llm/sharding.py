@@ -1,6 +1,7 @@
 """Extendible hashing: byte-limited shards from a directory of hash-prefix bits.
 
-A shard is a prefix of the hash of the document's key.  The root holds everything; only a
+A shard is a prefix of the hash of the document's key and text, and of an ordinal where both
+repeat, so no key holds more together than one document.  The root holds everything; only a
 bucket above the byte limit is split on one more bit, so large and small shards coexist
 and the directory is no deeper than the data ask for.
 """
@@ -16,6 +17,7 @@ from footings.llm.hashing import BITS, STRIDE, hash60
 from footings.session import truncate_lineage
 
 SHARD_BYTES = 64 << 20
+QUERY_BYTES = 256 << 10       # limit of the registered query, which splits on every table given
 
 
 def _prefix(hash_column: Column | str, depth: int | Column) -> Column:
@@ -64,19 +66,33 @@ def directory(rows: DataFrame, limit: int) -> tuple[DataFrame, list[int]]:
     return found.withColumn("oversize", F.col("shard_bytes") > limit), ends
 
 
+def hashed_rows(docs: DataFrame, key: str, text: str, **carried: Column) -> DataFrame:
+    """key, n_bytes, `_hash` and what is carried along: rows of one key and text get an ordinal, the others none."""
+    named = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(F.col(text), F.lit(""))))
+    rows = docs.select(F.col(key), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("bigint").alias("n_bytes"),
+                       named.alias("_name"), F.monotonically_increasing_id().alias("_ordinal"),
+                       *[c.alias(name) for name, c in carried.items()])
+    again = rows.groupBy("_name").agg(F.count("*").alias("_rows")).filter(F.col("_rows") > 1)
+    name = F.when(F.col("_rows").isNull(), F.col("_name")).otherwise(F.concat("_name", F.lit(":"), F.col("_ordinal").cast("string")))
+    return rows.join(again, "_name", "left").select(key, "n_bytes", hash60(name).alias("_hash"), *carried)
+
+
 def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, n_bytes, shard, depth, shard_bytes, shard_docs, oversize.
 
     * `shard` is the leaf's bits as text (the root: empty), a unique and sortable name.
     * A null text weighs 0 bytes; a null key hashes like an empty one.
-    * Rows with equal keys share a hash and therefore a shard.  A shard above the limit is
-      left only where all its rows share all 60 bits (a repeated key, or one document
-      larger than the limit on its own); it is marked `oversize`.
+    * Rows of one key have hashes of their own if their texts differ, and repeated rows by an ordinal
+      of the scan.  A shard above the limit is left only where one document is larger than the
+      limit on its own; it is marked `oversize`.
     * Extra columns are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.col(key), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("bigint").alias("n_bytes"),
-                       hash60(F.col(key).cast("string")).alias("_hash"))
-    leaves, ends = directory(rows, limit)
+    return _assigned(docs, limit, key, text)
+
+
+def _assigned(docs: DataFrame, limit: int, key: str, text: str, **carried: Column) -> DataFrame:
+    rows = hashed_rows(docs, key, text, **carried)
+    leaves, ends = directory(rows.select("n_bytes", "_hash"), limit)
     # The directory proper: every cell of a pass points to its leaf, so that rows find it
     # by equality.
     placed, start = rows, 0
@@ -92,41 +108,37 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, key: str = "doc_id"
         placed = placed.withColumn("_cell", _prefix("_hash", end)).join(cells, "_cell", "left").drop("_cell")
         start = end
     chosen = [F.coalesce(*[F.col(f"_{n}_{c}") for n in range(len(ends))]).alias(c) for c in wanted]
-    placed = placed.select(key, "n_bytes", "_hash", *chosen)
+    placed = placed.select(key, "n_bytes", "_hash", *chosen, *carried)
     bits = F.lpad(F.conv(F.col("_hash").cast("string"), 10, 2), BITS, "0")
     return placed.select(key, "n_bytes", F.substring(bits, F.lit(1), F.col("depth")).alias("shard"),
-                         F.col("depth").cast("int").alias("depth"), "shard_bytes", "shard_docs", "oversize")
+                         F.col("depth").cast("int").alias("depth"), "shard_bytes", "shard_docs", "oversize", *carried)
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, key: str = "doc_id",
                  text: str = "text") -> DataFrame:
-    """Write `docs` as one Parquet folder per shard under `path`; returns the assignment of the keys.
-
-    Rows with one key go to one shard whatever their text, so the assignment is joined by key.
-    """
-    assigned = assign_shards(docs, limit, key, text)
-    names = assigned.select(F.col(key).alias("_key"), "shard").distinct()
-    (docs.join(names, docs[key].eqNullSafe(names["_key"])).drop("_key")
-     .withColumn("shard", F.concat(F.lit("b"), "shard"))
+    """Write `docs` as one Parquet folder per shard under `path`; returns (shard, shard_bytes, shard_docs) of those."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    placed = _assigned(docs, limit, key, text, _row=row)
+    (placed.select(F.col("_row"), F.concat(F.lit("b"), "shard").alias("_shard")).select("_row.*", F.col("_shard").alias("shard"))
      .repartition("shard").write.partitionBy("shard").parquet(path))
-    return assigned
+    return placed.select("shard", "shard_bytes", "shard_docs").distinct()
 
 
 SQL = f"""
-WITH rows AS (
-  SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+WITH named AS (
+  SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes, coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) AS name
   FROM documents),
+rows AS (SELECT doc_id, n_bytes, ('0x' || substr(md5(name), 1, 15))::BIGINT AS h FROM named),
 prefixes AS (
   SELECT d::INTEGER AS depth, h >> (60 - d)::BIGINT AS prefix,
          sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS shard_docs
   FROM rows, range(61) AS t(d) GROUP BY ALL),
 fitting AS (
   SELECT r.doc_id, r.n_bytes, r.h, p.*,
-         row_number() OVER (PARTITION BY r.doc_id ORDER BY p.depth) AS k
+         row_number() OVER (PARTITION BY r.doc_id, r.h ORDER BY p.depth) AS k
   FROM rows r JOIN prefixes p ON p.prefix = r.h >> (60 - p.depth)::BIGINT
-  WHERE p.shard_bytes <= {SHARD_BYTES} OR p.depth = 60)
+  WHERE p.shard_bytes <= {QUERY_BYTES} OR p.depth = 60)
 SELECT doc_id, n_bytes, substr(lpad(bin(h), 60, '0'), 1, depth) AS shard, depth, shard_bytes, shard_docs,
-       shard_bytes > {SHARD_BYTES} AS oversize
+       shard_bytes > {QUERY_BYTES} AS oversize
 FROM fitting WHERE k = 1
 """

@@ -6,9 +6,12 @@ from footings.llm.sharding import assign_shards, write_shards
 
 
 def brute(rows, limit):
+    """Rows are distinct in key and text together."""
     cells = {}
-    hashed = [(k, len((t or "").encode()), f"{int(hashlib.md5(str('' if k is None else k).encode()).hexdigest()[:15], 16):060b}")
-              for k, t in rows]
+    hashed = []
+    for k, t in rows:
+        name = f"{'' if k is None else k}:{hashlib.md5((t or '').encode()).hexdigest()}"
+        hashed.append((k, len((t or "").encode()), f"{int(hashlib.md5(name.encode()).hexdigest()[:15], 16):060b}"))
     for _, n, h in hashed:
         for d in range(61):
             cells[h[:d]] = cells.get(h[:d], 0) + n
@@ -40,11 +43,23 @@ def test_more_than_one_pass_over_the_directory(documents):
 
 
 def test_odd_rows(odd_documents, no_documents):
-    check(odd_documents, 50_000)
-    check(odd_documents, 0)
+    distinct = odd_documents.dropDuplicates(["doc_id", "text"]).filter("coalesce(text, '') != '' or doc_id = 2").cache()
+    check(distinct, 50_000)
+    check(distinct, 0)
+    assert assign_shards(odd_documents, 100).count() == 11
     assert assign_shards(no_documents).count() == 0
 
 
+def test_null_and_repeated_ids_keep_the_limit(spark):
+    rows = [(None, f"{k:04d}" + "x" * 996) for k in range(50)] + [(5, "a" * 900), (5, "b" * 900)] + [(6, "c" * 500)] * 20 + [(None, "d" * 400)] * 20
+    got = assign_shards(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), 1500).collect()
+    assert len(got) == len(rows) and not any(r["oversize"] for r in got)
+    held = {}
+    for r in got:
+        held[r["shard"]] = held.get(r["shard"], 0) + r["n_bytes"]
+    assert all(r["shard_bytes"] == held[r["shard"]] <= 1500 for r in got)
+
+
 def test_written_shards_hold_every_row(spark, documents, tmp_path):
     write_shards(documents, str(tmp_path / "shards"), 100_000)
     back = spark.read.parquet(str(tmp_path / "shards"))
