@@ -43,8 +43,21 @@ def projection_grid(pages: DataFrame, metrics: list[tuple[str, str, str]]) -> Da
     are the first line below that names one for every year.
 
     `metrics` lists (pattern before the figures, metric, unit).  A row whose figures do
-    not match the years is skipped.
+    not match the years is no fact; `grid_problems` has it.
     """
+    rows = _grid_rows(pages, metrics).filter(F.size("figures") == F.size("_years"))
+    return rows.select("doc_id", "page_no", "metric", "unit", F.inline(F.arrays_zip(
+        F.col("_years").alias("fiscal_year"), F.col("_basis").alias("basis"), F.col("figures").alias("value"))))
+
+
+def grid_problems(pages: DataFrame, metrics: list[tuple[str, str, str]]) -> DataFrame:
+    """Printed rows of the grids whose figures do not match the years: doc_id, page_no, metric, years, figures."""
+    rows = _grid_rows(pages, metrics).filter(F.col("printed") & (F.size("figures") != F.size("_years")))
+    return rows.select("doc_id", "page_no", "metric", F.size("_years").alias("years"), "figures")
+
+
+def _grid_rows(pages: DataFrame, metrics: list[tuple[str, str, str]]) -> DataFrame:
+    """Per document and metric: the years and bases of its grid, whether the row is printed, and its figures."""
     lines = F.split("text", "\n")
 
     def is_years(line):
@@ -75,12 +88,9 @@ def projection_grid(pages: DataFrame, metrics: list[tuple[str, str, str]]) -> Da
         line = F.get(F.filter("_lines", lambda x: x.rlike(full)), F.lit(0))
         figures = F.filter(F.transform(F.regexp_extract_all(F.regexp_extract(line, full, 1), F.lit(GRID_NUMBER), F.lit(0)),
                                        parse_number_prose), lambda v: v.isNotNull())
-        return F.struct(F.lit(metric).alias("metric"), F.lit(unit).alias("unit"), figures.alias("figures"))
+        return F.struct(F.lit(metric).alias("metric"), F.lit(unit).alias("unit"), figures.alias("figures"), line.isNotNull().alias("printed"))
 
-    rows = grid.select("doc_id", "page_no", "_years", "_basis", F.inline(F.array(*[row(*m) for m in metrics])))
-    rows = rows.filter(F.size("figures") == F.size("_years"))
-    return rows.select("doc_id", "page_no", "metric", "unit", F.inline(F.arrays_zip(
-        F.col("_years").alias("fiscal_year"), F.col("_basis").alias("basis"), F.col("figures").alias("value"))))
+    return grid.select("doc_id", "page_no", "_years", "_basis", F.inline(F.array(*[row(*m) for m in metrics])))
 
 
 def rate_impact(pages: DataFrame) -> DataFrame:

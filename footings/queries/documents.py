@@ -108,6 +108,19 @@ UNION ALL SELECT doc_id, 2, 'surplus', 'USD', 2026, CASE WHEN m = 0 THEN 'report
 UNION ALL SELECT doc_id, 2, 'surplus', 'USD', 2027, CASE WHEN m = 0 THEN 'reported' ELSE 'projected' END, 3.5 FROM o
 UNION ALL SELECT doc_id, 2, 'cash', 'USD', CAST(2025 + i AS INTEGER), CASE WHEN m = 0 THEN 'reported' WHEN i = 0 THEN 'actual' WHEN i = 1 THEN 'estimate' ELSE 'projected' END, i + 1 FROM o, range(3) r(i) WHERE m <> 1""")
 def d03(t):
+    return prose.projection_grid(grid_pages(t), GRID_METRICS)
+
+
+@query("d03_grid_problems", """
+SELECT o_orderkey AS doc_id, CAST(2 AS INTEGER) AS page_no, 'cash' AS metric, CAST(3 AS INTEGER) AS years, '1.0,2.0' AS figures FROM orders WHERE o_custkey % 3 = 1""")
+def d03_problems(t):
+    """A printed row with fewer figures than years is no fact, and is reported."""
+    found = prose.grid_problems(grid_pages(t), GRID_METRICS)
+    return found.withColumn("figures", F.array_join(F.col("figures").cast("array<string>"), ","))
+
+
+def grid_pages(t):
+    """Each order's message: a page, a grid with one row too short for some customers, and a title without a grid."""
     m = F.col("o_custkey") % 3
     grid = text_of(F.lit("FY20 FY21 FY22 sales tax axis"), F.lit("Projected Surplus/(Deficit) of the fund"), F.lit(""), F.lit("FY25 FY26 FY2027"),
                    F.when(m != 0, F.lit("Actual Estimate Projection")),
@@ -117,7 +130,7 @@ def d03(t):
     pages = t.orders.select(F.col("o_orderkey").alias("doc_id"), F.explode(F.array(
         F.struct(F.lit(1).alias("page_no"), F.lit("A message").alias("text")), F.struct(F.lit(2).alias("page_no"), grid.alias("text")),
         F.struct(F.lit(3).alias("page_no"), other.alias("text")))).alias("p")).select("doc_id", "p.page_no", "p.text")
-    return prose.projection_grid(pages, GRID_METRICS)
+    return pages
 
 
 @query("d04_rate_impact", """
@@ -330,6 +343,28 @@ def d14(t):
     return flat_statements(pages)[0]
 
 
+@query("d14_published_lines", """
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS d, floor(o_totalprice)::DOUBLE AS v, o_orderkey % 3 AS m FROM orders),
+b AS (SELECT d, min(k) AS k FROM o WHERE m = 0 GROUP BY 1), s AS (SELECT o.* FROM o JOIN b USING (k))
+SELECT s.d AS doc_id, k AS page_no, 'revenues' AS section, CASE j WHEN 0 THEN 'Ad valorem taxes' ELSE 'Intergovernmental revenues restricted by grant agreement or by state statute' END AS line,
+  CAST(i AS INTEGER) AS column_index, CASE j WHEN 0 THEN v + i ELSE 500 END AS value, v + i + 500 AS total FROM s, range(2) r(i), range(2) q(j)""")
+def d14_lines(t):
+    """Lines of proven columns; a long label belongs to its section, and figures that are no row leave it unproven."""
+    from footings.plans.statements import flat_statements
+
+    v, m = F.floor("o_totalprice"), F.col("o_orderkey") % 3
+    n = lambda x: F.format_number(x, 0)
+    gap = F.lit("   ")
+    text = text_of(
+        F.lit("Budget and Actual  General Fund"), F.lit("Revenues:"), F.concat(F.lit("Ad valorem taxes"), gap, n(v), gap, n(v + 1)),
+        F.when(m < 2, F.concat(F.lit("Intergovernmental revenues restricted by grant agreement or by state statute"), gap, F.lit("500   500"))),
+        F.when(m == 2, F.lit("Intergovernmental *   500")),
+        # Where the long line is left out, or unread, the total of the others must prove nothing.
+        F.concat(F.lit("Total revenues"), gap, n(v + F.when(m == 0, 500).otherwise(0)), gap, n(v + 1 + F.when(m == 0, 500).otherwise(0))))
+    pages = t.orders.select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("page_no"), text.alias("text"))
+    return flat_statements(pages)[1].select("doc_id", "page_no", "section", "line", "column_index", "value", "total")
+
+
 @query("d12_fold_subtotals", """
 WITH s AS (SELECT l_orderkey AS page_no, count(*) AS n FROM lineitem GROUP BY 1)
 SELECT page_no, CAST(CASE WHEN n >= 2 THEN n ELSE 0 END AS BIGINT) AS folded, n >= 2 AS proven FROM s""")
@@ -393,7 +428,45 @@ def d06(t):
     return projects.join(said, ["doc_id", "start_page"], "left")
 
 
-def request_pages(t):
+@query("d06_project_checks", """
+WITH s AS (SELECT l_orderkey AS k, sum(floor(l_extendedprice))::DOUBLE AS a, sum(l_quantity)::DOUBLE AS b FROM lineitem GROUP BY 1),
+p AS (SELECT k // 1000 AS doc_id, k % 1000 * 3 + 1 AS start_page, a, b, CASE WHEN o_custkey % 5 = 0 THEN 2 ELSE 0 END AS off FROM s JOIN orders ON o_orderkey = k)
+SELECT doc_id, start_page, 'expenditures' AS "table", CAST(i AS INTEGER) AS column_index, CASE i WHEN 0 THEN a ELSE b END AS sum_of_lines, CASE i WHEN 0 THEN a ELSE b END AS printed_total, TRUE AS reconciles FROM p, range(2) r(i)
+UNION ALL SELECT doc_id, start_page, 'funding', 0, a, a + off, off = 0 FROM p""")
+def d06_checks(t):
+    from footings.plans.projects import project_checks
+
+    return project_checks(project_plan(t))
+
+
+@query("d06_project_fields", """
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, o_custkey % 3 AS m FROM orders)
+SELECT k // 1000 AS doc_id, k % 1000 * 5 + 1 AS start_page, 'FY2027-FY2033' AS plan_window, concat_ws(',', k % 1000 * 5 + 1, k % 1000 * 5 + 2, k % 1000 * 5 + 3, k % 1000 * 5 + 4) AS pages,
+  CASE m WHEN 0 THEN 'No FY27-29 operating impact.' WHEN 1 THEN 'Upkeep will rise with the size of the site.' END AS operating_budget_impact,
+  CASE WHEN m = 2 THEN c + 1 END::DOUBLE AS impact_total, m > 0 AS has_stated_budget_impact FROM o""")
+def d06_fields(t):
+    from footings.plans.projects import project_fields
+
+    return project_fields(long_project_plan(t)).withColumn("pages", F.array_join(F.col("source_pages").cast("array<string>"), ",")).drop("source_pages")
+
+
+def long_project_plan(t):
+    """Each order as a project of four pages: its description names the last section, its table stands on the third page."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    one = text_of(F.concat(F.lit("Reservoir "), k), F.lit("Capital Improvement Project (FY27 - FY33)"), F.lit("Fund Department Priority Rank"),
+                  F.concat(F.lit("Water Fund  Dept-"), c, F.lit("  3")), F.lit("Project Description"),
+                  F.lit("Costs to run it are under Operating Budget Impact below."))
+    three = text_of(F.lit("Project Expenditures"), F.lit("Itemization Description FY27"), F.concat(F.lit("LAND $"), F.format_number(c + 7, 0)),
+                    F.concat(F.lit("WORKS $"), F.format_number(c, 0)), F.concat(F.lit("AMOUNT $"), F.format_number(c * 2 + 7 + F.when(c % 5 == 0, 500).otherwise(0), 0)))
+    impact = F.when(c % 3 == 0, F.lit("No FY27-29 operating impact.")).when(c % 3 == 1, F.lit("Upkeep will rise with\nthe size of the site.")).otherwise(
+        F.concat(F.lit("Object Code Description FY27\nDEBT SERVICE - BONDS $"), F.format_number(c + 1, 0), F.lit("\nAMOUNT $"), F.format_number(c + 1, 0)))
+    four = text_of(F.lit("Operating Budget Impact"), impact)
+    texts = [one, F.lit("A drawing of the site"), three, four, F.lit("An appendix\nProject Expenditures\nNOT OURS $5")]
+    return t.orders.select(F.floor(k / PER_DOC).alias("doc_id"), F.explode(F.array(*[
+        F.struct((k % PER_DOC * 5 + 1 + i).alias("page_no"), x.alias("text")) for i, x in enumerate(texts)])).alias("p")).select("doc_id", "p.page_no", "p.text")
+
+
+def request_pages(t, forms=True):
     """Each customer's funded and unfunded lists, a page per two hundred order numbers, and a form for every urgent order."""
     k = F.col("o_orderkey")
     item = F.concat(F.lit("Clerk-"), k + 100000, F.lit(" vehicles $"), whole("o_totalprice"), F.lit(" $"), F.format_number(k % 100 + 1, 0))
@@ -407,6 +480,8 @@ def request_pages(t):
                    F.concat(F.lit("AMOUNT $"), F.format_number(F.col("a") + off, 0), F.lit(" $"), F.format_number("b", 0)))
     listed = lists.groupBy("o_custkey", "page_no").agg(F.array_join(F.array_sort(F.collect_list(part)), "\n").alias("text")) \
         .select(F.col("o_custkey").alias("doc_id"), "page_no", "text")
+    if not forms:
+        return listed
     form = text_of(F.concat(F.lit("Vehicles of the Clerk "), k + 100000, F.when(k % 2 == 0, F.lit(" replacement request")).otherwise(F.lit(" extra"))),
                    F.lit("Budget Justification Form (FY27 - FY29)"), F.lit("Fund Department Priority Rank"), F.concat(F.lit("Water Fund Dept-"), k, F.lit(" None")),
                    F.lit("Request Description"), F.lit("Needed."), F.lit("Alternatives & Operational Impact if Not Funded"),
@@ -428,6 +503,20 @@ def d07(t):
     return found.select("request", "status", "fund", "first_year", "basis", "department", "impact_if_not_funded", "states_alternative")
 
 
+@query("d07_request_lists", """
+WITH s AS (SELECT o_custkey AS doc_id, o_orderkey // 200 AS page_no, o_orderstatus = 'F' AS f, count(*) AS items FROM orders GROUP BY ALL)
+SELECT doc_id, page_no, 'Fund-' || doc_id % 7 AS fund, CASE WHEN f THEN 'funded' ELSE 'unfunded' END AS status, CASE WHEN NOT f AND doc_id % 4 = 0 THEN 0 ELSE items END AS items,
+  NOT f AND doc_id % 4 = 0 AS stated_none, f OR doc_id % 4 = 0 OR doc_id % 9 <> 0 AS reconciles FROM s""")
+def d07_lists(t):
+    """A list that says it is empty is a stated none, and adds up."""
+    from footings.plans import projects
+
+    pages = request_pages(t, forms=False)
+    none = F.regexp_replace("text", r"(?s)(: Unfunded Noteworthy Requests)\n.*?AMOUNT[^\n]*", "$1\nNo unfunded requests.")
+    pages = pages.withColumn("text", F.when(F.col("doc_id") % 4 == 0, none).otherwise(F.col("text")))
+    return projects.request_list_status(pages).drop("list_no")
+
+
 @query("d07_request_summary", """
 WITH s AS (SELECT 'Fund-' || o_custkey % 7 AS fund, o_orderstatus = 'F' AS f, floor(o_totalprice)::DOUBLE AS v, o_orderpriority = '1-URGENT' AS u FROM orders WHERE NOT (o_custkey % 9 = 0 AND o_orderstatus <> 'F')),
 x AS (SELECT fund, CAST(count_if(f) AS BIGINT) AS requests_funded, CAST(count_if(NOT f) AS BIGINT) AS requests_declined, sum(v) FILTER (f) AS funded, sum(v) FILTER (NOT f) AS declined, CAST(count_if(u) AS BIGINT) AS with_form FROM s GROUP BY 1)
