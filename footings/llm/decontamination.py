@@ -100,12 +100,13 @@ def _positions(docs: DataFrame, shingles: DataFrame, settings: Settings) -> Data
     for one in found:
         any_found = any_found | one
     first = F.greatest(pos - settings.window + 1, F.lit(0))
-    kept = [F.when(one, token) for token, one in zip(tokens, found)] or [F.lit(None).cast("bigint")]
+    # Code is generated for all of this in one stage, so that only these narrow rows are ever put down, whatever
+    # the length of a text: an expression that is not would make its rows carry all words of the text.
     return rows.filter(head | any_found).select(
         F.when(head, F.col("doc_id")).alias("doc_id"), "node", head.alias("head"),
         F.when(head, F.size(words)).cast("bigint").alias("n_words"), "pos",
-        F.array_compact(F.array(*kept)).alias("tokens"), (pos - first).alias("before"),
-        F.when(any_found, F.slice(words, first + 1, F.lit(2 * settings.window))).alias("around"))
+        (pos - first).alias("before"), F.when(any_found, F.slice(words, first + 1, F.lit(2 * settings.window))).alias("around"),
+        *[F.when(one, token).alias(f"token{k}") for k, (token, one) in enumerate(zip(tokens, found))])
 
 
 def _rarest(shingles: DataFrame, places: DataFrame, settings: Settings) -> DataFrame:
@@ -129,7 +130,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setti
     wins = written(windows(benchmark, settings), "benchmark-windows")
     shingles = written(_shingles(wins, settings), "benchmark-shingles")
     table = written(_positions(docs, shingles, settings), "benchmark-positions")
-    places = table.filter(F.size("tokens") > 0).select("node", "pos", "before", "around", F.explode("tokens").alias("token"))
+    tokens = F.array(F.lit(None).cast("bigint"), *[F.col(c) for c in table.columns if c.startswith("token")])
+    places = table.filter(F.col("around").isNotNull()).select(
+        "node", "pos", "before", "around", F.explode(tokens).alias("token")).filter(F.col("token").isNotNull())
     # One shingle may be in a third of all documents: its positions are dealt to several tasks.
     salt = F.pmod(F.xxhash64("node", "pos"), F.lit(settings.salts)).cast("int")
     rare = _rarest(shingles, places, settings).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(settings.salts - 1))))
