@@ -5,8 +5,9 @@ gated attention weighs the encodings, weights learned from the document labels;
 weighted sum is scored.  A document with one bad stretch among many good ones can so be
 told from a clean one.
 
-The model is fitted on a bounded sample of labelled documents (`Settings.train_docs`,
-`Settings.train_passages` a document) and scores every passage of every document.
+The model is fitted on a bounded sample of labelled documents (`Settings.train_docs` rows that
+together have `Settings.train_passages` passages at most, each document with all of its own)
+and scores every passage of every document.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -33,7 +35,7 @@ class Settings:
     hidden: int = 24            # size of an encoding
     gates: int = 12             # size of the attention layer
     train_docs: int = 4000      # bound of the sample that the model is fitted on
-    train_passages: int = 64    # of a document in that sample, evenly spaced; scoring uses all
+    train_passages: int = 400_000   # of all documents in that sample; a document has all of its passages or is left out
     epochs: int = 14
     rate: float = 0.01
     batch: int = 64
@@ -167,32 +169,34 @@ def held_out(key: Column) -> Column:
 
 
 def _bags(sample: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, label and the passages of the sample, at most `train_passages` a document."""
+    """order, label, passages (how many) and x (their features) of the sample."""
     schema = StructType([StructField("order", LongType()), StructField("label", DoubleType()),
-                         StructField("x", BinaryType())])
+                         StructField("passages", LongType()), StructField("x", BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            rows = []
-            for lo, hi in blocks(texts):
-                x, sizes = passages(texts[lo:hi], settings)
-                at = 0
-                for n in sizes.tolist():
-                    keep = np.unique(np.linspace(0, n - 1, min(n, settings.train_passages)).round().astype(int))
-                    rows.append(x[at + keep].tobytes())
-                    at += n
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.binary())],
-                                             names=[f.name for f in schema])
-
-    return sample.select("order", "label", "text").mapInArrow(run, schema)
+            for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
+                texts = [t or "" for t in part.column(2).to_pylist()]
+                rows, many = [], []
+                for lo, hi in blocks(texts):
+                    x, sizes = passages(texts[lo:hi], settings)
+                    rows += [bag.tobytes() for bag in np.split(x, np.cumsum(sizes)[:-1])]
+                    many += sizes.tolist()
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(many, pa.int64()), pa.array(rows, pa.binary())],
+                                                 names=[f.name for f in schema])
+
+    bags = sample.select("order", "label", "text").mapInArrow(run, schema)
+    # The window holds `train_docs` rows at most.
+    running = Window.orderBy("order", "label").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return bags.withColumn("_sum", F.sum("passages").over(running)).filter(F.col("_sum") <= settings.train_passages).drop("_sum")
 
 
 def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> AttentionModel:
     """Fit on labelled documents that are not held out.
 
-    The sample is the `train_docs` labelled ids that come first by hash; at most that many
-    rows are broadcast to find their texts and come back as passage features.  An id with
+    The sample is the `train_docs` labelled ids that come first by hash, as far as their passages
+    number `train_passages` together; at most that many rows are broadcast to find their texts
+    and come back as passage features.  An id with
     several labels counts by their mean; labels without a document or value are ignored.
     """
     chosen = (labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -217,25 +221,23 @@ def score(docs: DataFrame, model: AttentionModel, columns: list[str] | None = No
       is replaced; an empty table gives no rows.  Nothing is shuffled.
     """
     kept = [c for c in (columns or docs.columns) if c != "score"]
-    settings = model.settings
     schema = StructType([*[docs.schema[c] for c in kept], StructField("score", DoubleType())])
+    selected = docs.select(*[F.col(c) for c in kept], F.col("text").cast(StringType()).alias("_scored"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(kept))
-            found = []
-            for start in range(0, batch.num_rows, 512):
-                some = [t or "" for t in texts.slice(start, 512).to_pylist()]
-                for lo, hi in blocks(some):
-                    found.append(model.scores(*passages(some[lo:hi], settings)))
-            scores = np.concatenate(found) if found else np.empty(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())],
-                                             names=[f.name for f in schema])
+            for part in (batch.slice(at, 512) for at in range(0, batch.num_rows, 512)):
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], _scores(part.column(len(kept)), model)], names=schema.names)
 
-    selected = docs.select(*[F.col(c) for c in kept], F.col("text").cast(StringType()).alias("_scored"))
     return selected.mapInArrow(run, schema)
 
 
+def _scores(texts: pa.Array, model: AttentionModel) -> pa.Array:
+    some = [t or "" for t in texts.to_pylist()]
+    found = [model.scores(*passages(some[lo:hi], model.settings)) for lo, hi in blocks(some)]
+    return pa.array(np.concatenate(found) if found else np.empty(0), pa.float64())
+
+
 def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(),
              columns: list[str] | None = None) -> DataFrame:
     """Train, then score every document: `columns` with held_out, score and predicted (score >= 0.5)."""
@@ -246,6 +248,16 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
 
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of `docs` that the classifier accepts (score 0.5 or more), columns as they are."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_packed"), "text")
-    scored = score(packed, train(docs, labels, settings), ["_packed"])
-    return scored.filter(F.col("score") >= 0.5).select("_packed.*")
+    model = train(docs, labels, settings)
+    place = docs.columns.index("text")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A text crosses once, in its row, and rows leave a few at a time.
+        for batch in batches:
+            for part in (batch.slice(at, 512) for at in range(0, batch.num_rows, 512)):
+                rows = part.column(0)
+                good = pc.greater_equal(_scores(rows.flatten()[place].cast(pa.string()), model), 0.5)
+                yield pa.RecordBatch.from_arrays([rows.filter(good)], names=["row"])
+
+    return packed.mapInArrow(run, packed.schema).select("row.*")
