@@ -92,6 +92,29 @@ def block_bill(charge: Column, rate_per_1000: Column, threshold: Column, gallons
     return charge + over / 1000 * rate_per_1000
 
 
+def block_bill_rounded(charge: Column, rate_per_1000: Column, threshold: Column, gallons: Column) -> Column:
+    """The two-block bill in whole cents, as it is printed: exact in decimals, halves away from zero."""
+    over = F.greatest(gallons - threshold, F.lit(0.0)).cast("decimal(18,3)")
+    whole = charge.cast("decimal(18,4)") + over * rate_per_1000.cast("decimal(12,4)") / 1000
+    return F.round(whole, 2).cast("double")
+
+
+def utility_bill_parts(gallons: Column, water: dict[str, Column], sewer: dict[str, Column], storm: dict[str, Column],
+                       years: dict[str, Column]) -> Column:
+    """What a bill is made of: per service its amount now, its amount before and the difference, and the years of the rates.
+
+    A service without both rate sets is null; stormwater is a twelfth of its year.
+    """
+    def part(name: str, now: Column, was: Column) -> Column:
+        return F.struct(now.alias("now"), was.alias("was"), (now - was).alias("delta")).alias(name)
+
+    def metered(rates: dict[str, Column], when: str) -> Column:
+        return block_bill(rates[f"charge_{when}"], rates[f"rate_{when}"], rates["threshold"], gallons)
+
+    return F.struct(part("water", metered(water, "now"), metered(water, "was")), part("sewer", metered(sewer, "now"), metered(sewer, "was")),
+                    part("stormwater", storm["now"] / 12, storm["was"] / 12), years["now"].alias("rate_year"), years["was"].alias("previous_year"))
+
+
 def utility_bill(gallons: Column, water: dict[str, Column], sewer: dict[str, Column],
                  storm: dict[str, Column], increase: dict[str, Column]) -> Column:
     """The monthly bill from the rate sets, else the published increase at the nearest level.

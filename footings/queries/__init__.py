@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ("scalar", "household", "sources", "filters", "joins", "aggregates",
-           "windows", "ranking", "gates", "documents", "warehouse")
+           "windows", "ranking", "gates", "documents", "warehouse", "provenance")
 
 
 def load_all() -> None:

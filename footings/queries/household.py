@@ -90,6 +90,13 @@ def f25(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", bill.alias("bill"))
 
 
+@query("f25_block_bill_rounded", """
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(round(CAST(28.5 AS DECIMAL(18,4)) + CAST(greatest(l_quantity * 1000 - 3000, 0) AS DECIMAL(18,3)) * CAST(l_tax AS DECIMAL(12,4)) / 1000.0, 2) AS DOUBLE) AS bill FROM lineitem""")
+def f25_rounded(t):
+    bill = hh.block_bill_rounded(F.lit(28.5), F.col("l_tax"), F.lit(3000.0), F.col("l_quantity") * 1000)
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", bill.alias("bill"))
+
+
 def bill_columns(status):
     """Rate sets that exist for lines shipped finally, and published increases by flag."""
     def known(v):
@@ -181,3 +188,20 @@ def f29(t):
         "o_orderkey", hh.clamp(F.col("o_totalprice") - 200000, "home").alias("home"),
         hh.clamp(F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")), "gallons")
         .alias("gallons"))
+
+
+@query("f26_utility_bill_parts", """
+WITH c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity * 100 AS g, l_linestatus = 'F' AS f FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN f THEN 20 + greatest(g - 2000, 0) / 1000 * 10 END AS water_now, CASE WHEN f THEN (20 + greatest(g - 2000, 0) / 1000 * 10) - (18 + greatest(g - 2000, 0) / 1000 * 9) END AS water_delta,
+  30 + greatest(g - 2000, 0) / 1000 * 12 AS sewer_now, (30 + greatest(g - 2000, 0) / 1000 * 12) - (27 + greatest(g - 2000, 0) / 1000 * 11) AS sewer_delta, 120 / 12.0::DOUBLE - 96 / 12.0::DOUBLE AS storm_delta,
+  CAST(2027 AS INTEGER) AS rate_year, CAST(2026 AS INTEGER) AS previous_year FROM c""")
+def f26_parts(t):
+    """Parts and differences of each service; a service without rates has none."""
+    known = F.when(F.col("l_linestatus") == "F", F.lit(1.0))
+    water = {"charge_now": known * 20, "rate_now": known * 10, "charge_was": known * 18, "rate_was": known * 9, "threshold": F.lit(2000.0)}
+    sewer = {"charge_now": F.lit(30.0), "rate_now": F.lit(12.0), "charge_was": F.lit(27.0), "rate_was": F.lit(11.0), "threshold": F.lit(2000.0)}
+    parts = hh.utility_bill_parts(F.col("l_quantity") * 100, water, sewer, {"now": F.lit(120.0), "was": F.lit(96.0)}, {"now": F.lit(2027), "was": F.lit(2026)})
+    p = F.col("p")
+    return t.lineitem.withColumn("p", parts).select(
+        "l_orderkey", "l_linenumber", "l_partkey", p["water"]["now"].alias("water_now"), p["water"]["delta"].alias("water_delta"), p["sewer"]["now"].alias("sewer_now"),
+        p["sewer"]["delta"].alias("sewer_delta"), p["stormwater"]["delta"].alias("storm_delta"), p["rate_year"].alias("rate_year"), p["previous_year"].alias("previous_year"))
