@@ -65,6 +65,6 @@ def j17_readings(t):
 @query("w17_vintage_trail", """
 WITH o AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderdate, o_orderkey, o_totalprice FROM orders),
 f AS (SELECT o_custkey, year, arg_min(o_totalprice, (CAST(o_orderdate AS DATE), o_orderkey)) AS v FROM o GROUP BY 1, 2)
-SELECT o_custkey, year, CAST(o_orderdate AS DATE) AS recency, o_orderkey AS source, o_totalprice AS value, round(o_totalprice - v, 2) AS moved FROM o JOIN f USING (o_custkey, year)""")
+SELECT o_custkey, year, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS recency, o_orderkey AS source, o_totalprice AS value, round(o_totalprice - v, 2) AS moved FROM o JOIN f USING (o_custkey, year)""")
 def w17_trail(t):
-    return ops.vintage_trail(t.orders.withColumn("year", F.year("o_orderdate")), ["o_custkey", "year"], F.to_date("o_orderdate"), "o_totalprice", "o_orderkey")
+    return ops.vintage_trail(t.orders.withColumn("year", F.year("o_orderdate")), ["o_custkey", "year"], F.to_date("o_orderdate").cast("string"), "o_totalprice", "o_orderkey")
