@@ -233,6 +233,61 @@ def d10(t):
     return rows.select("doc_id", "page_no", "label", F.get(v, F.lit(0)).alias("a"), F.get(v, F.lit(1)).alias("b"), F.get(v, F.lit(2)).alias("c"))
 
 
+def printed_statements(t, slope=0.0):
+    """Each order as word boxes of one page: a heading, a line per item, and a total that is misprinted for some customers."""
+    from pyspark.sql import Window
+
+    at = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
+    items = t.lineitem.select(F.col("l_orderkey").alias("page_no"), at.alias("i"), F.concat(F.lit("Item-"), "l_partkey").alias("one"),
+                              F.concat(F.lit("from-"), "l_suppkey").alias("two"), (F.floor("l_extendedprice") + 100).alias("a"), (F.col("l_quantity") + 100).cast("bigint").alias("b"))
+    sums = items.groupBy("page_no").agg((F.max("i") + 1).alias("i"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    wrong = t.orders.select(F.col("o_orderkey").alias("page_no"), F.when(F.col("o_custkey") % 6 == 0, 3).otherwise(0).alias("_off"))
+    totals = sums.join(wrong, "page_no").select("page_no", "i", F.lit("Total").alias("one"), F.lit("revenues").alias("two"), (F.col("a") + F.col("_off")).alias("a"), "b")
+    heads = sums.select("page_no", F.lit(0).alias("i"), F.lit("REVENUES:").alias("one"), F.lit(None).cast("string").alias("two"), F.lit(None).cast("bigint").alias("a"), F.lit(None).cast("bigint").alias("b"))
+    lines = items.unionByName(totals).unionByName(heads)
+
+    def box(text, x0, x1):
+        return F.when(text.isNotNull(), F.struct(text.alias("text"), x0.cast("double").alias("x0"), x1.cast("double").alias("x1")))
+
+    def figure(v, right):
+        text = F.format_number(v, 0)
+        return box(text, F.lit(right) - F.length(text) * 5, F.lit(right))
+
+    boxes = F.array_compact(F.array(box(F.col("one"), F.lit(40), F.lit(90)), box(F.col("two"), F.lit(95), F.lit(140)), figure(F.col("a"), 300), figure(F.col("b"), 400)))
+    top = F.lit(60.0) + F.col("i") * 12 + (F.col("x0") + F.col("x1")) / 2 * slope
+    return lines.select((F.col("page_no") / PER_DOC).cast("bigint").alias("doc_id"), "page_no", "i", F.inline(boxes)) \
+        .select("doc_id", "page_no", "text", "x0", "x1", top.alias("top"), (top + 8).alias("bottom"))
+
+
+def proven_lines(t, slope, scanned):
+    from footings.plans.statements import statement_rows, verified_lines
+
+    rows, _ = statement_rows(printed_statements(t, slope), scanned)
+    meta = t.orders.select((F.col("o_orderkey") / PER_DOC).cast("bigint").alias("doc_id"), F.col("o_orderkey").alias("page_no"),
+                           F.lit("Exhibit 5").alias("statement_key"), F.year("o_orderdate").alias("fiscal_year"))
+    return verified_lines(rows, meta).select("page_no", "group", "line", F.get("values", F.lit(0)).alias("a"), F.get("values", F.lit(1)).alias("b"),
+                                             "is_subtotal", "verified_by", "fiscal_year")
+
+
+PROVEN = """
+WITH i AS (SELECT l_orderkey AS k, 'Item-' || l_partkey || ' from-' || l_suppkey AS line, floor(l_extendedprice) + 100 AS a, l_quantity + 100 AS b FROM lineitem),
+g AS (SELECT k, count(*) AS n, sum(a) AS a, sum(b) AS b, any_value(CAST(year(o_orderdate) AS INTEGER)) AS y FROM i JOIN orders ON o_orderkey = k WHERE o_custkey % 6 <> 0 GROUP BY 1 HAVING count(*) >= 2)
+SELECT k AS page_no, 'REVENUES' AS "group", line, i.a::DOUBLE AS a, i.b::DOUBLE AS b, FALSE AS is_subtotal, 'components sum to the printed total, per column' AS verified_by, y AS fiscal_year FROM i JOIN g USING (k)
+UNION ALL SELECT k, 'REVENUES', 'Total revenues', a::DOUBLE, b::DOUBLE, TRUE, 'printed total, reconciled against its components', y FROM g"""
+
+
+@query("d10_words_to_proven_lines", PROVEN)
+def d10_proven(t):
+    """From word boxes of a digital page to the lines that its own total proves."""
+    return proven_lines(t, 0.0, False)
+
+
+@query("d10_scanned_words_to_proven_lines", PROVEN)
+def d10_scanned(t):
+    """The same statements, recognised on a sheet that lay askew."""
+    return proven_lines(t, 0.01, True)
+
+
 def nested_rows(t, wrong=None):
     """Each order as a nested statement: ASSETS over "Flag A:" with a total and "Flag R:" without.
 

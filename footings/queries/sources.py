@@ -42,6 +42,18 @@ def s03(t):
     return good.select("doc_id", "bytes", "sha256")
 
 
+@query("s03_inventory_files", """
+SELECT s_nationkey, CAST(strlen(string_agg(s_name, chr(10) ORDER BY s_name)) + 1 AS BIGINT) AS bytes, sha256(string_agg(s_name, chr(10) ORDER BY s_name) || chr(10)) AS sha256, 'txt' AS extension FROM supplier GROUP BY 1""")
+def s03_files(t):
+    """A folder with one file per nation, its suppliers one a line, inventoried as files."""
+    folder = scratch_folder(t.spark, "s03")
+    names = t.supplier.groupBy("s_nationkey").agg(F.array_join(F.array_sort(F.collect_list("s_name")), "\n").alias("value"))
+    names.write.partitionBy("s_nationkey").text(folder)
+    good, _ = files.inventory(t.spark, folder)
+    nation = F.regexp_extract("path", r"s_nationkey=(\d+)", 1).cast("bigint")
+    return good.select(nation.cast("int").alias("s_nationkey"), F.col("bytes").cast("bigint").alias("bytes"), "sha256", "extension")
+
+
 @query("s04_word_boxes", """
 SELECT event_id, event_type AS text, round(user_id * (72.0::DOUBLE / 300), 2) AS x0,
        round((user_id + 30) * (72.0::DOUBLE / 300), 2) AS x1,
