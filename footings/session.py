@@ -42,10 +42,13 @@ def shared_folder(spark: SparkSession) -> str:
     named = context.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named
+    # Set by the application itself; Spark asks for a shared folder there, too.
+    set_before = context._jsc.sc().getCheckpointDir()
+    if set_before.isDefined():
+        return set_before.get()
     if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    set_before = context._jsc.sc().getCheckpointDir()
-    return set_before.get() if set_before.isDefined() else tempfile.mkdtemp()
+    return tempfile.mkdtemp()
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:

@@ -114,3 +114,30 @@ def test_shared_folder_is_required_off_local_masters(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Session())
+
+
+def test_a_mention_of_the_last_section_ends_no_project(spark):
+    from footings.plans.projects import project_checks, project_fields, project_register
+
+    banner = "Reservoir\nCapital Improvement Project (FY27 - FY33)\nFund Department Priority Rank\nWater Fund  Utilities  3"
+    pages = spark.createDataFrame([
+        (1, 1, banner + "\nProject Description\nSee Operating Budget Impact below."), (1, 2, "A drawing"),
+        (1, 3, "Project Expenditures\nItemization Description FY27\nLAND $1,500\nWORKS $500\nAMOUNT $2,500"),
+        (1, 4, "Operating Budget Impact\nUpkeep will rise."), (1, 5, "Appendix\nProject Funding\nOTHER $5\nAMOUNT $9")],
+        "doc_id int, page_no int, text string")
+    projects, rows, _ = project_register(pages)
+    assert [(r["title"], r["published"]) for r in projects.collect()] == [("Reservoir", False)] and rows.count() == 2
+    assert [(r["table"], r["sum_of_lines"], r["printed_total"], r["reconciles"]) for r in project_checks(pages).collect()] == [("expenditures", 2000.0, 2500.0, False)]
+    field = project_fields(pages).first()
+    assert field["source_pages"] == [1, 2, 3, 4] and field["operating_budget_impact"] == "Upkeep will rise." and field["has_stated_budget_impact"]
+
+
+def test_long_labels_and_unread_figures(spark):
+    from footings.plans.statements import flat_statements
+
+    head = "Budget and Actual  General Fund\nRevenues:\nTaxes collected   1,000   1,000\n"
+    long = "Intergovernmental revenues that are restricted by grant agreement or by statute   500   500\n"
+    pages = [(1, 1, head + long + "Total revenues   1,500   1,500"), (2, 1, head + long + "Total revenues   1,000   1,000"),
+             (3, 1, head + "Other *   500\nTotal revenues   1,000   1,000"), (4, 1, head + "Total revenues   1,000   1,000")]
+    totals, _ = flat_statements(spark.createDataFrame(pages, "doc_id int, page_no int, text string"))
+    assert {r["doc_id"] for r in totals.collect()} == {1, 4}
