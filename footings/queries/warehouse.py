@@ -127,7 +127,7 @@ def s08_metrics(t):
         F.lit("ORG_OC").alias("Organization_ID"), (F.col("p_size") + 2000).alias("Fiscal_Year"), F.lit("Actual").alias("Scenario"), no_text().alias("Metric_ID"),
         F.lit("Net position").alias("Metric"), F.when(k % 3 == 0, F.col("p_brand")).alias("Qualifier"), F.when(k % 2 == 1, "Dollars per pupil").alias("Unit"),
         no_text().alias("Fund_ID"), no_text().alias("Fund"), no_text().alias("Activity_Type"), F.when(k % 7 != 0, F.col("p_retailprice")).alias("Amount"),
-        F.lit("DOC-1").alias("Source_ID"), F.lit("workbook").alias("Source_Detail"), F.lit("3").alias("Source_Page"), F.lit("High").alias("Confidence"),
+        F.concat(F.lit("DOC-"), k % 40).alias("Source_ID"), F.lit("workbook").alias("Source_Detail"), F.lit("3").alias("Source_Page"), F.lit("High").alias("Confidence"),
         F.lit("workbook-import").alias("Extraction"), no_text().alias("Notes"))
     facts, _ = warehouse.metric_facts(rows, *documents(t))
     return facts.select("Organization_ID", "Fiscal_Year_ID", "Metric", "Unit", "Amount", "Confidence")
