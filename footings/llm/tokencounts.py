@@ -80,13 +80,14 @@ class PrefixCounter:
 
     def _of_words(self, words: list[str]) -> np.ndarray:
         """Counts after 1, 2, … code points of neighbouring words: those of each word, moved by all words before it."""
-        cut = [self.cuts[word] for word in words]
+        cut = list(map(self.cuts.__getitem__, words))
         counts = np.frombuffer(b"".join(cut), np.int32)
         sizes = np.fromiter(map(len, cut), np.int64, len(cut)) // 4
         ends = np.cumsum(sizes)
         totals = np.cumsum(counts[ends - 1], dtype=np.int32)
         out = counts + np.repeat(np.concatenate([[np.int32(0)], totals[:-1]]), sizes)
-        for k in [k for k, word in enumerate(words) if word.isspace()]:
+        blank = list(map(str.isspace, words))
+        for k in [k for k, one in enumerate(blank) if one] if True in blank else []:
             if k + 1 < len(words) and words[k + 1][0].isspace():
                 # At the end of a run of blanks the run is one word.
                 run = words[k] + words[k + 1][0]
