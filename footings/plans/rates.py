@@ -10,7 +10,7 @@ from footings.operators import ordered
 from footings.operators.joins import pair_by_identity
 from footings.operators.windows import first_ranked
 from footings.plans.lineitems import PAGE_BLOCK
-from footings.session import truncate_lineage
+from footings.session import stored
 from footings.sources.words import to_lines
 
 # How the schedule labels its blocks.
@@ -57,7 +57,7 @@ def fee_values(pages: DataFrame) -> DataFrame:
     gallons = F.coalesce(F.nullif(F.regexp_extract("line", BLOCK1, 1), F.lit("")), F.regexp_extract("line", BLOCK2, 1))
     label = F.struct(F.col("_service")["v"].alias("service"), F.col("_place")["v"].alias("location"),
                      F.regexp_replace(gallons, ",", "").try_cast("int").alias("threshold"), field.alias("block"))
-    state = truncate_lineage(state.select("doc_id", chunk, *order, "line", figures.alias("figures"),
+    state = stored(state.select("doc_id", chunk, *order, "line", figures.alias("figures"),
                          F.when(scoped & field.isNotNull(), label).alias("label"),
                          (service.isNotNull() | place.isNotNull()).alias("moves"),
                          (field.isNull() & (F.size(figures) > 0) & line.rlike("[A-Za-z]")).alias("other")))
