@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from footings import vocab
 from footings.functions.text import norm_key
 from footings.operators.filters import lookup
+from footings.operators.salting import salted_join
 
 
 def money(col: Column | str) -> Column:
@@ -122,7 +123,8 @@ def authoritative(df: DataFrame, keys: list[str], source: str, kind: str, ordina
 
 def exclude_years(df: DataFrame, years: DataFrame, key: str | list[str]) -> DataFrame:
     """Drop rows of years that are already read directly."""
-    return df.join(years.select(key).distinct(), key, "left_anti")
+    names = [key] if isinstance(key, str) else key
+    return salted_join(df, years.select(*names).distinct(), names, "left_anti")
 
 
 def ratio_test(a: DataFrame, b: DataFrame, key: str, left: str, right: str, k: float,

@@ -18,6 +18,7 @@ from footings import schemas, vocab
 from footings.operators import gates
 from footings.operators.filters import canonical_source, coalesce_label, confidence_ceiling, lookup
 from footings.operators.joins import exclude_years
+from footings.operators.salting import salted_join
 from footings.operators.windows import grain_ordinal
 
 # A load: the columns of a financial fact but for its Line, whether the source may print a
@@ -152,7 +153,7 @@ def publish(table: DataFrame, violations: list[DataFrame], path: str, ddl: str,
     gone = current.join(held.select(*columns), columns, "left_anti") if current is not None else held.limit(0)
     if not fresh.isEmpty():
         # Written by content, so nothing current is touched, and a failed try is simply overwritten.
-        table.join(fresh.select(*columns), by).hint("rebalance", *columns).write.mode("overwrite") \
+        salted_join(table, fresh.select(*columns), by, "inner").hint("rebalance", *columns).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(f"{path}/data")
     if current is None or not (fresh.isEmpty() and gone.isEmpty()):
         held.write.mode("overwrite").parquet(f"{path}/manifest/v{version + 1:09d}")
@@ -180,4 +181,4 @@ def published(spark: SparkSession, path: str, ddl: str, by: list[str]) -> DataFr
         raise FileNotFoundError(path)
     extra = "" if "content" in [f.name for f in StructType.fromDDL(ddl)] else ", content string"
     data = spark.read.schema(ddl + extra).parquet(f"{path}/data")
-    return data.join(current.select(*by, "content"), [*by, "content"], "left_semi").select(*[f"`{f.name}`" for f in StructType.fromDDL(ddl)])
+    return salted_join(data, current.select(*by, "content"), [*by, "content"], "left_semi").select(*[f"`{f.name}`" for f in StructType.fromDDL(ddl)])

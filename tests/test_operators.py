@@ -177,3 +177,22 @@ def test_wrapped_labels_alternate_in_a_run(spark):
 def test_corroboration_and_latest_change(spark):
     series = spark.createDataFrame([("a", 2025, 50.0), ("a", 2026, 51.3), ("b", 2026, 1.0)], "k string, y int, v double")
     assert rows(windows.latest_change(series, ["k"], "y", "v")) == [("a", 2025, 2026, 1.3)]
+
+
+def test_a_key_of_most_rows_is_spread_over_tasks(spark):
+    from footings.operators.filters import canonical_source
+
+    rows = spark.range(2000).select(F.lit("DOC-1").alias("source"), F.lit(2001).alias("year"), "id")
+    documents = spark.createDataFrame([("DOC-1",)], "id string")
+    by_year = spark.createDataFrame([(2001, "REP")], "year int, document string")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = canonical_source(rows, "source", "year", documents, by_year)
+        assert out.filter("source_id = 'DOC-1' and source_note is null").count() == 2000
+        most = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert most < 1000
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
