@@ -4,7 +4,8 @@
 leading letters of a key).  Each chunk is worked on its own; one summary row per
 chunk then carries state into the next, and is joined back.  A group with a third
 of all rows is thereby spread over its chunks, and only the summary window sees the
-group as a whole.  `chunk=None` is for groups with a physical bound, such as the
+group as a whole.  Summaries grow with the groups, so they are merged and never broadcast:
+compressed they look small to Spark, in the driver they are not.  `chunk=None` is for groups with a physical bound, such as the
 lines of one printed page.  Group keys must not be null, and the order must be total.
 
 One `scan` reads its input twice (rows and summary), however many states it
@@ -45,7 +46,7 @@ def scan(df: DataFrame, part: list[str], order: list[str], chunk: str | None = N
     prior = ends.select(
         *part, chunk, *[F.last(f"_c_{n}", ignorenulls=True).over(past).alias(f"_c_{n}") for n in carried],
         *[F.sum(f"_c_{n}").over(past).alias(f"_c_{n}") for n in sums])
-    joined = df.select("*", *local).join(prior, [*part, chunk])
+    joined = df.select("*", *local).join(prior.hint("merge"), [*part, chunk])
     return joined.select(*df.columns, *[F.coalesce(n, f"_c_{n}").alias(n) for n in carried],
                          *[(F.col(n) + F.coalesce(f"_c_{n}", F.lit(0))).alias(n) for n in sums])
 
@@ -89,7 +90,7 @@ def gap_islands(df: DataFrame, part: list[str], order: list[str], start: Column,
     opened = ends.select(*part, chunk, "_inner", opened.alias("_open"))
     before = F.sum(F.col("_inner") + F.col("_open")).over(over.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_inner")
     prior = opened.select(*part, chunk, before.alias("_base"))
-    return inside.join(prior, [*part, chunk]).select(*df.columns, (F.col(out) + F.col("_base")).alias(out))
+    return inside.join(prior.hint("merge"), [*part, chunk]).select(*df.columns, (F.col(out) + F.col("_base")).alias(out))
 
 
 def fill_down(df: DataFrame, part: list[str], order: list[str], levels: dict[str, Column],

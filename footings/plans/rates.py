@@ -26,9 +26,10 @@ def schedule_pages(pages: DataFrame) -> DataFrame:
     """Pages of each document's fee schedule, first to last."""
     text = F.col("text")
     starts = pages.filter(text.contains(SCHEDULE_STARTS)).groupBy("doc_id").agg(F.min("page_no").alias("_from"))
-    ends = (pages.filter(text.contains(SCHEDULE_ENDS)).select("doc_id", "page_no").join(starts, "doc_id")
+    ends = (pages.filter(text.contains(SCHEDULE_ENDS)).select("doc_id", "page_no").join(starts.hint("merge"), "doc_id")
             .filter("page_no >= _from").groupBy("doc_id").agg(F.min("page_no").alias("_to")))
-    return (pages.join(starts, "doc_id").join(ends, "doc_id", "left")
+    # One row per document grows with the documents: merged, not broadcast from the driver.
+    return (pages.join(starts.hint("merge"), "doc_id").join(ends.hint("merge"), "doc_id", "left")
             .filter("page_no >= _from and (_to is null or page_no <= _to)").drop("_from", "_to"))
 
 
