@@ -8,6 +8,7 @@ from pyspark.sql.types import MapType
 
 SALTS = 64   # fixed value: tasks that one key is spread over
 
+
 def salted_join(df: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join with a table of few rows per key where most rows of `df` may share one key.
 
