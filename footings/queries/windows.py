@@ -8,6 +8,7 @@ from footings.operators import ordered
 from footings.operators import windows as ops
 from footings.operators.rules import first_hit
 from footings.queries.registry import query
+from footings.session import spread_pages
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
@@ -180,7 +181,9 @@ def w12(t):
                                   line(F.lit(""), fig), line(F.lit("FUND"), none)))
             .otherwise(F.array(line(F.lit("Itemization"), none), line(label, none), line(F.lit(""), fig))))
     printed = F.concat(body, F.array(line(F.lit("SECOND ROW"), fig)))
-    lines = t.orders.select("o_orderkey", F.posexplode(printed).alias("line_no", "l")) \
+    # Orders are spread before their lines are printed: lines compress so well that Spark would join them into few large tasks.
+    orders = spread_pages(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice"), "o_orderkey")
+    lines = orders.select("o_orderkey", F.posexplode(printed).alias("line_no", "l")) \
         .select("o_orderkey", "line_no", F.col("l.text").alias("label"), "l.amount")
     is_row = F.col("amount").isNotNull()
     is_text = ~is_row & (F.col("label") != "") & ~F.col("label").isin("Amount header", "Itemization")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from footings.plans import statements
+from footings.plans import lineitems, statements
 
 
 class Seen(Exception):
@@ -26,3 +26,44 @@ def test_flat_lines_are_read_once(spark, monkeypatch):
     plan = optimized(monkeypatch, statements, lambda: statements.flat_statements(pages))
     assert "Join" not in plan
     assert plan.count("Repartition") == 1 and plan.count(statements.FLAT_FIGURES) == 1
+
+
+SUMMARY = """Financial Summary: General Fund
+Personnel $1 $2
+FY25 Actual FY26 Estimate
+Personnel $3 $4
+Expenditures by Type
+Personnel $5 ($6) 17
+Water $7 $8
+FY25 Actual FY26 Estimate FY27 Budget
+Capital $9 –
+Operating $10 $11 $12
+Revenues by Type
+Transfers $1 $2 $3
+Expenditures by Type
+
+Transfers – ($14) $15"""
+
+
+def test_summary_pages_are_read_inside_their_rows(spark):
+    pages = spark.createDataFrame([(1, 1, SUMMARY.replace("$5", "$99")), (1, 2, SUMMARY), (2, 1, "Financial Summary: Other"), (3, 1, None)], "doc_id int, page_no int, text string")
+    found = lineitems.published_totals(pages, {"general fund": "General Fund"})
+    got = sorted(tuple(r)[2:] for r in found.collect())
+    assert got == [("Operating", 2025, "actual", 10.0), ("Operating", 2026, "estimate", 11.0), ("Operating", 2027, "budget", 12.0),
+                   ("Personnel", 2025, "actual", 5.0), ("Personnel", 2026, "estimate", -6.0),
+                   ("Transfers", 2026, "estimate", -14.0), ("Transfers", 2027, "budget", 15.0)]
+    # One window is left, that of the last page; no line is sorted.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+
+
+def test_orders_are_spread_before_their_lines(spark, tmp_path):
+    from footings.queries import load_all
+    from footings.queries.registry import REGISTRY, Tables
+
+    load_all()
+
+    spark.createDataFrame([(k, k % 3, "LOW", 5.0) for k in range(2000)], "o_orderkey bigint, o_custkey bigint, o_orderpriority string, o_totalprice double") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    rows = REGISTRY["w12_wrap_labels"][0](Tables(spark, str(tmp_path)))
+    parts = rows.select("o_orderkey", F.spark_partition_id().alias("p")).distinct()
+    assert rows.count() == 4000 and parts.select("p").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
