@@ -65,5 +65,25 @@ def test_orders_are_spread_before_their_lines(spark, tmp_path):
     spark.createDataFrame([(k, k % 3, "LOW", 5.0) for k in range(2000)], "o_orderkey bigint, o_custkey bigint, o_orderpriority string, o_totalprice double") \
         .write.parquet(str(tmp_path / "orders.parquet"))
     rows = REGISTRY["w12_wrap_labels"][0](Tables(spark, str(tmp_path)))
-    parts = rows.select("o_orderkey", F.spark_partition_id().alias("p")).distinct()
-    assert rows.count() == 4000 and parts.select("p").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows.count() == 4000
+    assert "RepartitionByExpression" in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_of_a_page_meet_no_join(spark, monkeypatch):
+    words = spark.createDataFrame([(1, 1, "x", 1.0, 2.0, 3.0, 4.0)], "doc_id int, page_no int, text string, x0 double, x1 double, top double, bottom double")
+    plan = optimized(monkeypatch, statements, lambda: statements.statement_rows(words))
+    assert "Join" not in plan and "Window" not in plan and plan.count("Repartition") == 1
+
+
+def test_rows_and_rejected_figures(spark):
+    """Touching marks are one figure; the second figure at a column, and one far from all, are problems."""
+    words = []
+    for i in range(4):
+        top = 60.0 + 12 * i
+        for text, x0, x1 in (("Part", 40, 60), ("no-", 66, 90), ("$", 240, 244), ("1", 280, 283), (f"0{i}", 285, 300), ("(7)", 385, 400)):
+            words.append((1, 1, text, float(x0), float(x1), top, top + 8))
+    words += [(1, 1, "55", 306.0, 307.0, 96.0, 104.0), (1, 1, "99", 480.0, 490.0, 96.0, 104.0), (1, 2, "alone", 1.0, 2.0, 60.0, 68.0)]
+    rows, problems = statements.statement_rows(spark.createDataFrame(words, "doc_id int, page_no int, text string, x0 double, x1 double, top double, bottom double"))
+    got = sorted((r["page_no"], r["label"], r["indent"], r["values"], r["has_figures"]) for r in rows.collect())
+    assert got == [(1, "Part no-", 40.0, [100.0 + i, -7.0], True) for i in range(4)]
+    assert sorted(r["text"] for r in problems.collect()) == ["55", "99"]
