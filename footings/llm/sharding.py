@@ -4,6 +4,9 @@ A shard is a prefix of the hash of the document's key and text, and of an ordina
 repeat, so no key holds more together than one document.  The root holds everything; only a
 bucket above the byte limit is split on one more bit, so large and small shards coexist
 and the directory is no deeper than the data ask for.
+
+The first pass looks at STRIDE bits, each later one at NEXT_BITS more of the cells that are still
+too large, so a pass lists at most 2**NEXT_BITS cells for each of those.
 """
 
 from __future__ import annotations
@@ -14,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footings.llm.hashing import BITS, STRIDE, hash60
+from footings.llm.tables import written
 from footings.session import truncate_lineage
 
+NEXT_BITS = 4                 # of a pass after the first
 SHARD_BYTES = 64 << 20
 QUERY_BYTES = 256 << 10       # limit of the registered query, which splits on every table given
 
@@ -28,17 +33,19 @@ def _prefix(hash_column: Column | str, depth: int | Column) -> Column:
 
 
 def directory(rows: DataFrame, limit: int) -> tuple[DataFrame, list[int]]:
-    """Leaves of the directory: (depth, prefix, shard_bytes, shard_docs, oversize).
+    """Leaves of the directory: (cell_depth, prefix, depth, shard_bytes, shard_docs, oversize).
 
-    `rows` holds `_hash` and `n_bytes`.  Each pass sums bytes per cell STRIDE bits deeper
+    `rows` holds `_hash` and `n_bytes`.  Each pass sums bytes per cell some bits deeper
     (partial sums before the shuffle), rolls the cells up to every depth on the way and
     keeps the smallest depth that fits.  Cells still too large at the last depth go to the
     next pass, which reads their rows only; passes end when none is left or all bits are
-    used.  Also returns the depths at which the passes ended.
+    used.  One document that is too large on its own is too large at every depth: its leaf, all
+    bits long, is known by the cell that it has for itself.  Also returns the depths at which the
+    passes ended.
     """
     leaves, ends, crowded, start = [], [], None, 0
     while start < BITS:
-        end = start + STRIDE
+        end = start + (STRIDE if crowded is None else NEXT_BITS)
         source = rows.withColumn("_cell", _prefix("_hash", end))
         if crowded is not None:
             source = (source.withColumn("_top", _prefix("_hash", start))
@@ -50,7 +57,8 @@ def directory(rows: DataFrame, limit: int) -> tuple[DataFrame, list[int]]:
             .withColumn("prefix", F.call_function("shiftright", F.col("_cell"), F.lit(end) - F.col("depth")))
             .groupBy("depth", "prefix")
             .agg(F.sum("shard_bytes").alias("shard_bytes"), F.sum("shard_docs").alias("shard_docs")))
-        fits = (F.col("shard_bytes") <= limit) | (F.col("depth") == BITS)
+        alone = (F.col("depth") == end) & (F.col("shard_docs") == 1)
+        fits = (F.col("shard_bytes") <= limit) | (F.col("depth") == BITS) | alone
         split = levels.filter(~fits)
         parents = split.select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("_parent"))
         below = (levels.filter(fits & (F.col("depth") > first))
@@ -62,8 +70,10 @@ def directory(rows: DataFrame, limit: int) -> tuple[DataFrame, list[int]]:
         if crowded.isEmpty():
             break
         start = end
-    found = reduce(DataFrame.unionByName, leaves)
-    return found.withColumn("oversize", F.col("shard_bytes") > limit), ends
+    found = reduce(DataFrame.unionByName, leaves).withColumnRenamed("depth", "cell_depth")
+    oversize = F.col("shard_bytes") > limit
+    return found.select("cell_depth", "prefix", F.when(oversize, BITS).otherwise(F.col("cell_depth")).alias("depth"),
+                        "shard_bytes", "shard_docs", oversize.alias("oversize")), ends
 
 
 def hashed_rows(docs: DataFrame, key: str, text: str, **carried: Column) -> DataFrame:
@@ -87,20 +97,20 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, key: str = "doc_id"
       limit on its own; it is marked `oversize`.
     * Extra columns are ignored; an empty table gives no rows.
     """
-    return _assigned(docs, limit, key, text)
+    # Passes and placement read the small rows, not the texts again.
+    return _placed(written(hashed_rows(docs, key, text), "shard-rows"), limit, key)
 
 
-def _assigned(docs: DataFrame, limit: int, key: str, text: str, **carried: Column) -> DataFrame:
-    rows = hashed_rows(docs, key, text, **carried)
+def _placed(rows: DataFrame, limit: int, key: str, *carried: str) -> DataFrame:
     leaves, ends = directory(rows.select("n_bytes", "_hash"), limit)
     # The directory proper: every cell of a pass points to its leaf, so that rows find it
     # by equality.
     placed, start = rows, 0
     wanted = ["depth", "shard_bytes", "shard_docs", "oversize"]
     for number, end in enumerate(ends):
-        own = leaves.filter((F.col("depth") > start) | (F.lit(number == 0) & (F.col("depth") == 0)))
-        own = own.filter(F.col("depth") <= end)
-        span = F.lit(end) - F.col("depth")
+        own = leaves.filter((F.col("cell_depth") > start) | (F.lit(number == 0) & (F.col("cell_depth") == 0)))
+        own = own.filter(F.col("cell_depth") <= end)
+        span = F.lit(end) - F.col("cell_depth")
         base = F.call_function("shiftleft", F.col("prefix"), span)
         cells = own.select(
             F.explode(F.sequence(base, base + F.call_function("shiftleft", F.lit(1).cast("bigint"), span) - 1))
@@ -118,7 +128,7 @@ def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, key: str
                  text: str = "text") -> DataFrame:
     """Write `docs` as one Parquet folder per shard under `path`; returns (shard, shard_bytes, shard_docs) of those."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    placed = _assigned(docs, limit, key, text, _row=row)
+    placed = _placed(hashed_rows(docs, key, text, _row=row), limit, key, "_row")
     (placed.select(F.col("_row"), F.concat(F.lit("b"), "shard").alias("_shard")).select("_row.*", F.col("_shard").alias("shard"))
      .repartition("shard").write.partitionBy("shard").parquet(path))
     return placed.select("shard", "shard_bytes", "shard_docs").distinct()

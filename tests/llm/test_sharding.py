@@ -2,7 +2,9 @@
 
 import hashlib
 
-from footings.llm.sharding import assign_shards, write_shards
+from pyspark.sql import functions as F
+
+from footings.llm.sharding import assign_shards, directory, write_shards
 
 
 def brute(rows, limit):
@@ -65,3 +67,19 @@ def test_written_shards_hold_every_row(spark, documents, tmp_path):
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert back.count() == documents.count()
     assert back.select("shard").distinct().count() > 3
+
+
+def test_directory_lists_few_cells_below_a_crowded_one(spark):
+    # 40 cells of 12 bits hold 100 rows each: 18 bits are needed, but no 2**12 cells below each.
+    number = F.shiftleft(F.col("id") % 40, 48) + F.shiftleft(F.col("id"), 36)
+    rows = spark.range(4000).select(number.alias("_hash"), F.lit(1).cast("bigint").alias("n_bytes"))
+    leaves, ends = directory(rows, 2)
+    cells = [2 ** (next(e for e in ends if e >= r["cell_depth"]) - r["cell_depth"]) for r in leaves.collect() if r["cell_depth"] > 12]
+    assert sum(cells) <= 16 * leaves.count()
+
+
+def test_a_large_document_alone_ends_the_passes(spark):
+    rows = spark.createDataFrame([(1 << 59, 9), (3, 9), (1 << 50, 1)], "_hash bigint, n_bytes bigint")
+    leaves, ends = directory(rows, 5)
+    assert ends == [12]
+    assert sorted((r["depth"], r["shard_bytes"], r["oversize"]) for r in leaves.collect()) == [(10, 1, False), (60, 9, True), (60, 9, True)]
