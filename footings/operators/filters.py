@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footings import vocab
-from footings.operators.salting import salted_join
+from footings.operators.salting import salted_join, salted_join_many
 
 
 def lookup(key: Column, table: dict) -> Column:
@@ -96,7 +96,8 @@ def canonical_source(df: DataFrame, source: str, year: str, documents: DataFrame
     keyed = df.withColumn("_key", key).withColumn("_year", F.coalesce(printed, F.col(year).cast("int")))
     known = documents.select(F.col("id").alias("_key"), F.lit(True).alias("_known"))
     years = by_year.select(F.col("year").alias("_year"), F.col("document").alias("_document"))
-    out = salted_join(salted_join(keyed, known, ["_key"], "left"), years, ["_year"], "left")
+    # Documents may be as many as there are rows; years are few.
+    out = salted_join(salted_join_many(keyed, known, ["_key"], "left"), years, ["_year"], "left")
     moved = F.col("_known").isNull() & (F.col("_key") != "") & F.col("_document").isNotNull()
     return (out.withColumn("source_id", F.when(moved, F.col("_document")).otherwise(F.col("_key")))
             .withColumn("source_note", F.when(moved, F.concat(F.lit("register key "), F.col("_key"))))

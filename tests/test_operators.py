@@ -196,3 +196,33 @@ def test_a_key_of_most_rows_is_spread_over_tasks(spark):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def test_only_frequent_documents_are_repeated(spark):
+    """Many documents are repeated once, a frequent one for every salt; keys may repeat on either side, or be null."""
+    from footings.operators.filters import canonical_source
+    from footings.operators.salting import SALTS, salted_join_many
+
+    def generated(plan):
+        own = plan.metrics().apply("numOutputRows").value() if plan.nodeName() == "Generate" else 0
+        children = plan.children()
+        return own + sum(generated(children.apply(i)) for i in range(children.size()))
+
+    cited = F.when(F.col("id") % 2 == 0, F.concat(F.lit("D"), "id")).when(F.col("id") % 4 == 1, "HOT")
+    cites = spark.range(4000).select(cited.alias("k"), F.lit(2001).alias("year"), "id")
+    many = spark.range(4000).select(F.concat(F.lit("D"), "id").alias("k")).unionByName(spark.createDataFrame([("HOT",), ("D0",), (None,)], "k string"))
+    by_year = spark.createDataFrame([(2001, "REP")], "year int, document string")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        out = canonical_source(cites, "k", "year", many.withColumnRenamed("k", "id"), by_year)
+        got = rows(out.groupBy("source_id").agg(F.count("*").alias("n")).filter("n > 1"))
+        made = out.filter("id >= 0")
+        made.collect()
+        assert generated(made._jdf.queryExecution().executedPlan()) < 4003 + 3 * SALTS
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert got == [("", 1000), ("D0", 2), ("HOT", 1000)]
+    joined = salted_join_many(cites, many.withColumn("known", F.lit(True)), ["k"], "left")
+    assert joined.columns == ["k", "year", "id", "known"]
+    assert (joined.count(), joined.filter("known").count()) == (4001, 3001)
