@@ -61,11 +61,19 @@ def truncate_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+PACKED = 32.0   # fixed value: bytes of rows that one byte of a stored table may stand for
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Cut a long lineage with a compressed table in the shared folder.
 
     A checkpoint keeps rows as they lie in memory; printed lines in columns take a small part of that.
+    Spark takes a file's size for the size of its rows when it plans a broadcast, so it is told how
+    far they are apart; what it measures later still decides.
     """
+    settings, name = df.sparkSession.conf, "spark.sql.sources.fileCompressionFactor"
+    if float(settings.get(name)) < PACKED:
+        settings.set(name, str(PACKED))
     folder = scratch_folder(df.sparkSession, "step")
     df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

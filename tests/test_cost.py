@@ -87,3 +87,20 @@ def test_rows_and_rejected_figures(spark):
     got = sorted((r["page_no"], r["label"], r["indent"], r["values"], r["has_figures"]) for r in rows.collect())
     assert got == [(1, "Part no-", 40.0, [100.0 + i, -7.0], True) for i in range(4)]
     assert sorted(r["text"] for r in problems.collect()) == ["55", "99"]
+
+
+def test_a_stored_table_is_not_taken_for_small(spark):
+    """Printed lines pack to a small part of their size: a table of 40 MB must not be broadcast for its file of 1 MB."""
+    from footings.session import stored
+
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.sources.fileCompressionFactor")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        lines = stored(spark.range(400_000).select("id", F.concat(F.lit("A justification form that could be funded by fees, number "), "id").alias("text")))
+        joined = spark.range(10**9).join(lines, "id")
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+        few = stored(spark.range(10).select("id", F.lit("x").alias("text")))
+        assert "Broadcast" in spark.range(10**9).join(few, "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
