@@ -226,3 +226,37 @@ def test_only_frequent_documents_are_repeated(spark):
     joined = salted_join_many(cites, many.withColumn("known", F.lit(True)), ["k"], "left")
     assert joined.columns == ["k", "year", "id", "known"]
     assert (joined.count(), joined.filter("known").count()) == (4001, 3001)
+
+
+def test_skew_follows_changes_and_scores_as_every_trial(spark):
+    """Scores equal those of all trials, ties and words without a place included; one word makes few rows of 121 trials."""
+    import random
+
+    draw = random.Random(4)
+    words = [(p, draw.choice([None, 40.0, 99.5, 300.25, 571.0]), draw.choice([None, 12.0]), float(draw.randrange(0, 60)) / 2, draw.choice([2.0, 2.0, None]))
+             for p in range(12) for _ in range(5 + 4 * p)]
+    df = spark.createDataFrame(words, "p int, x0 double, w double, top double, h double").select(
+        "p", "x0", (F.col("x0") + F.col("w")).alias("x1"), "top", (F.col("top") + F.col("h")).alias("bottom"))
+    tried = df.select("p", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("top") + F.col("bottom")) / 2).alias("y"),
+                      F.round((F.col("x1") - F.col("x0")) * 100).cast("long").alias("w"), F.explode(F.sequence(F.lit(-60), F.lit(60))).alias("i"))
+    lines = tried.groupBy("p", "i", F.bround(F.col("y") - F.col("i") / 2000.0 * F.col("x"), 0).alias("line")).agg(F.sum("w").alias("w"), F.count("*").alias("n"))
+    scores = lines.groupBy("p", "i").agg(F.sum(F.col("w") * F.col("w")).alias("s"), F.sum("n").alias("n"))
+    best = scores.groupBy("p").agg(F.max(F.struct("s", (-F.col("i")).alias("j"))).alias("b"), F.max("n").alias("n"))
+    want = best.select("p", F.when(F.col("n") >= 12, -F.col("b")["j"] / 2000.0).otherwise(0.0).alias("slope"))
+    assert rows(estimate_skew(df, ["p"])) == rows(want)
+
+    def generated(plan):
+        own = [plan.metrics().apply("numOutputRows").value()] if plan.nodeName() == "Generate" else []
+        children = plan.children()
+        return own + [n for i in range(children.size()) for n in generated(children.apply(i))]
+
+    page = spark.range(100).select(F.lit(1).alias("p"), F.lit(90.0).alias("x0"), F.lit(110.0).alias("x1"), F.col("id").alias("top"), F.col("id").alias("bottom"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        found = estimate_skew(page, ["p"])
+        found.collect()
+        # A word at 100 points crosses six lines on 121 slopes: it leaves one line and joins another.
+        assert min(generated(found._jdf.queryExecution().executedPlan())) <= 100 * (1 + 2 * 7)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
