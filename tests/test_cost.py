@@ -104,3 +104,67 @@ def test_a_stored_table_is_not_taken_for_small(spark):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def test_shuffles_of_an_earlier_step_are_freed(spark):
+    import time
+
+    from footings.session import stored
+
+    def written():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = written()
+    step = stored(spark.range(100_000).groupBy((F.col("id") % 5000).alias("k")).agg(F.sum("id").alias("s")))
+    own = written() - before
+    time.sleep(1)
+    stored(spark.range(10))
+    deadline = time.time() + 20
+    while written() & own and time.time() < deadline:
+        time.sleep(0.2)
+    assert not written() & own
+    assert step.count() == 5000
+
+
+def test_a_roll_forward_moves_its_own_lines_only(spark):
+    from footings.operators import proof
+
+    lines = [(1, 1, "Total revenues", [10.0, None]), (1, 2, "Total expenditures", [4.0, None]), (1, 3, "Excess of revenues", [6.0, None]),
+             (1, 4, "Excess of revenues", [7.0, None]), (2, 1, "Total revenues", [None, None]), (2, 2, None, [1.0, 2.0]), (2, 3, "Total revenues", None)]
+    lines += [(p, 9, f"Line {p}", [1.0, 2.0]) for p in range(1, 400)]
+    rows = spark.createDataFrame(lines, "page int, n int, label string, v array<double>")
+
+    def moved(plan):
+        own = plan.metrics().apply("shuffleRecordsWritten").value() if plan.nodeName() == "Exchange" else 0
+        children = plan.children()
+        return own + sum(moved(children.apply(i)) for i in range(children.size()))
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        proved = proof.prove_rollforward(rows, ["page"], "n", "label", "v")
+        got = [(r["page"], r["column_index"], r["line"], r["value"], r["expected"]) for r in proved.collect()]
+        assert got == [(1, 0, "Excess of revenues", 6.0, 6.0)]
+        assert 0 < moved(proved._jdf.queryExecution().executedPlan()) <= 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_a_publication_builds_its_facts_once(spark, tmp_path, monkeypatch):
+    from footings.queries import warehouse
+
+    built = []
+    facts, _ = warehouse.warehouse.financial_facts([spark.range(20).select(
+        F.lit("ORG_HB").alias("Organization_ID"), (F.col("id") % 3 + 2000).cast("int").alias("Fiscal_Year"), F.lit("Actual").alias("Scenario"), F.lit("F").alias("Fund_ID"),
+        F.lit("Expenditure").alias("Flow"), F.lit("D").alias("Department"), F.lit("A").alias("Account"), F.lit("C").alias("Category"), F.lit("amount").alias("Measure"),
+        F.lit(1.0).alias("Amount"), F.lit("DOC").alias("Source_ID"), F.lit("x").alias("Source_Detail"), F.lit(1).alias("Source_Page"), F.lit("High").alias("Confidence"),
+        F.lit("digital-text").alias("Extraction"), F.lit(True).alias("repeatable"), F.col("id").alias("printed"))],
+        spark.createDataFrame([("DOC",)], "id string"), spark.createDataFrame([(2001, "REP")], "year int, document string"),
+        spark.createDataFrame([("OTHER", 2001)], "Organization_ID string, Fiscal_Year int"))
+    seen = spark.sparkContext.accumulator(0)
+    counted = facts.mapInArrow(lambda batches: (seen.add(b.num_rows) or b for b in batches), facts.schema)
+    monkeypatch.setattr(warehouse, "build", lambda t: built.append(1) or (counted, None))
+    found = warehouse.s08_publish(warehouse.query.__globals__["Tables"](spark, str(tmp_path)))
+    assert [tuple(r) for r in found.collect()] == [(1, 3, 20, 20), (2, 0, 0, 20), (3, 1, 7, 14)]
+    assert built == [1] and seen.value == 20
